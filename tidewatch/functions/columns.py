@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _UNIFORM_DIGITS = 13  # 13 hex digits = 52 bits, exactly representable in a double
@@ -188,3 +188,19 @@ def decide_class(probability: Column, threshold: float) -> Column:
 
 def columns_of(names: Sequence[str]) -> list[Column]:
     return [F.col(n) for n in names]
+
+
+def number_of(df: DataFrame, name: str) -> Column:
+    """A column of any scalar type as double: text is parsed, NaN becomes NULL."""
+    kind = df.schema[name].dataType.typeName()
+    if kind == "string":
+        return parse_number(name)
+    return drop_nan(name) if kind in ("double", "float") else F.col(name).cast("double")
+
+
+def is_missing(df: DataFrame, name: str) -> Column:
+    """NULL, or NaN in a floating column."""
+    column = F.col(name)
+    if df.schema[name].dataType.typeName() in ("double", "float"):
+        return column.isNull() | F.isnan(column)
+    return column.isNull()

@@ -16,12 +16,11 @@ from pyspark.sql import functions as F
 from tidewatch.functions.columns import (
     bucket_of,
     chi_squared_survival,
-    drop_nan,
     finite,
     interpolate,
     kolmogorov_survival,
     linear_interior_probabilities,
-    parse_number,
+    number_of,
     psi_term,
     smoothed_share,
 )
@@ -40,17 +39,10 @@ class DriftPolicy:
     share: float = 0.15
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    kind = dict(df.dtypes)[name]
-    if kind == "string":
-        return parse_number(name)
-    return drop_nan(name) if kind in ("double", "float") else F.col(name).cast("double")
-
-
 def _as_category(df: DataFrame, name: str, binary: bool) -> Column:
     """Text form; binary columns go through int so that ``0`` and ``0.0`` are one category."""
     if binary:
-        return _as_number(df, name).cast("int").cast("string")
+        return number_of(df, name).cast("int").cast("string")
     return F.col(name).cast("string")
 
 
@@ -63,18 +55,25 @@ def _stack(df: DataFrame, values: Sequence[tuple[str, Column]], value: str, side
 
 
 def _count_sides(long: DataFrame, value: str) -> DataFrame:
-    """Counts per side. Missing values stay as one NULL row, counted apart from the others."""
-    present = F.col(value).isNotNull()
-    now = F.col("is_current")
-
-    def tally(condition: Column) -> Column:
-        return F.sum(F.when(condition, F.lit(1)).otherwise(0)).cast("long")
+    """Counts per side; the NULL row carries the missing values, counted apart.
 
-    return long.groupBy("feature", value).agg(
-        tally(present & ~now).alias("n_ref"),
-        tally(present & now).alias("n_cur"),
-        tally(~present & ~now).alias("null_ref"),
-        tally(~present & now).alias("null_cur"),
+    The aggregate itself always has the same two sums, and the split into present and
+    missing is a projection on top, so every consumer can share one shuffle.
+    """
+    now = F.col("is_current")
+    totals = long.groupBy("feature", value).agg(
+        F.sum(F.when(now, 0).otherwise(1)).cast("long").alias("r"),
+        F.sum(F.when(now, 1).otherwise(0)).cast("long").alias("c"),
+    )
+    present = F.col(value).isNotNull()
+    return totals.select(
+        "feature",
+        value,
+        *[
+            F.when(keep, F.col(short)).otherwise(F.lit(0)).cast("long").alias(f"{name}_{side}")
+            for name, keep in (("n", present), ("null", ~present))
+            for short, side in (("r", "ref"), ("c", "cur"))
+        ],
     )
 
 
@@ -83,7 +82,7 @@ def numeric_counts(
 ) -> DataFrame:
     """(feature, value, n_ref, n_cur, null_ref, null_cur), one row per distinct value."""
     sides = [
-        _stack(df, [(c, _as_number(df, c)) for c in columns], "value", side)
+        _stack(df, [(c, number_of(df, c)) for c in columns], "value", side)
         for df, side in ((reference, "reference"), (current, "current"))
     ]
     return _count_sides(sides[0].unionAll(sides[1]), "value")
@@ -356,7 +355,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, mean, std, missing_fraction): one aggregate over the wide table."""
     cells = []
     for c in columns:
-        value = _as_number(df, c)
+        value = number_of(df, c)
         cells.append(
             F.struct(
                 F.lit(c).alias("feature"),
@@ -448,7 +447,7 @@ def windowed_drift(
     )
     wide = current.select(
         F.window(ts, width).start.alias("window_start"),
-        *[_as_number(current, c).alias(c) for c in columns],
+        *[number_of(current, c).alias(c) for c in columns],
     )
     observed = (
         wide.unpivot(["window_start"], list(columns), "feature", "value")

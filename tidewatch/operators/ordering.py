@@ -26,13 +26,6 @@ def default_slices(df: DataFrame) -> int:
     return max(16, min(4 * partitions, 16384))
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[f"_r_{key}"])
-    return condition
-
-
 def with_slices(df: DataFrame, order: str, totals: Sequence[str], slices: int) -> DataFrame:
     """Add ``_slice``: which of ``slices`` equally filled ranges of ``order`` a row is in.
 
@@ -68,24 +61,25 @@ def sum_by_slices(
     sliced: DataFrame, order: Sequence[str], totals: Sequence[str], by: Sequence[str]
 ) -> DataFrame:
     """Exclusive running sums given ``_slice``; see :func:`running_totals`."""
-    keys = [*by, "_slice"]
-    inside = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    local = sliced.select(
+    # A struct compares NULL fields as equal, so a NULL group key joins like any other.
+    grouped = sliced.withColumn("_g", F.struct(*by)) if by else sliced
+    group = ["_g"] if by else []
+    inside = W.partitionBy(*group, "_slice").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    local = grouped.select(
         "*", *[F.coalesce(F.sum(t).over(inside), F.lit(0)).alias(f"_in_{t}") for t in totals]
     )
-    # One row per (by, slice): the window below sees at most `slices` rows per group.
-    per_slice = sliced.groupBy(*keys).agg(*[F.sum(t).alias(f"_s_{t}") for t in totals])
-    before = W.partitionBy(*by).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy(*by)
+    # One row per (group, slice): the window below sees at most `slices` rows per group.
+    per_slice = grouped.groupBy(*group, "_slice").agg(*[F.sum(t).alias(f"_s_{t}") for t in totals])
+    before = W.partitionBy(*group).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = per_slice.select(
-        *[F.col(k).alias(f"_r_{k}") for k in keys],
+        *group,
+        "_slice",
         *[F.coalesce(F.sum(f"_s_{t}").over(before), F.lit(0)).alias(f"_off_{t}") for t in totals],
-        *[F.sum(f"_s_{t}").over(whole).alias(f"{t}_all") for t in totals],
+        *[F.sum(f"_s_{t}").over(W.partitionBy(*group)).alias(f"{t}_all") for t in totals],
     )
     # The join keys equal the window's partitioning, so only `offsets` has to move;
     # whether it is broadcast is left to adaptive execution, which knows its size.
-    joined = local.join(offsets, _same_keys(local, offsets, keys))
-    return joined.select(
+    return local.join(offsets, [*group, "_slice"]).select(
         *sliced.drop("_slice").columns,
         *[(F.col(f"_in_{t}") + F.col(f"_off_{t}")).alias(f"{t}_before") for t in totals],
         *[f"{t}_all" for t in totals],
