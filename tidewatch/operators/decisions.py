@@ -284,17 +284,3 @@ def retrain_guards(
         .when(F.coalesce("n_labeled", F.lit(0)) < policy.min_labeled, "too_few_labels")
     )
     return states.withColumn("guard", guard)
-
-
-def time_holdout(labeled: DataFrame, fraction: float = 0.25) -> DataFrame:
-    """Add ``part``: the newest ``max(1, round(n * fraction))`` rows are the holdout.
-
-    Meant for the bounded window of fresh labels (``most_recent``); ties in time are
-    settled by prediction id.
-    """
-    newest = W.orderBy(F.desc("created_at"), F.desc("prediction_id"))
-    size = F.count(F.lit(1)).over(W.partitionBy())
-    held = F.greatest(F.lit(1), F.bround(size * F.lit(fraction)).cast("int"))
-    return labeled.withColumn(
-        "part", F.when(F.row_number().over(newest) <= held, "holdout").otherwise("train")
-    )

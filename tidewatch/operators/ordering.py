@@ -192,11 +192,12 @@ def cutoffs_passed(
     ranks: Callable[[Column], Column],
     by: str | None = None,
     slices: int = HASH_SLICES,
+    ties: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``name``: how many of the cut points of its group a row has reached.
 
     A cut point is the first row of the next part, so the count is the number of the part."""
-    cut_points = hash_cutoffs(df, key, salt, ranks, by, slices)
+    cut_points = hash_cutoffs(df if ties is None else ties, key, salt, ranks, by, slices)
     group = F.col(by).cast("string") if by else F.lit("")
     here = F.struct(F.col("_u").alias("u"), F.struct(*key).alias("k"))
     reached = F.filter(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import uniform
-from tidewatch.operators.ordering import cutoffs_passed, hash_positions
+from tidewatch.operators.ordering import cutoffs_passed, hash_positions, running_totals
 
 
 def exact_sample(df: DataFrame, key: str, n: int, seed: int | str) -> DataFrame:
@@ -83,3 +83,36 @@ def top_up(
         return tagged
     extra = exact_sample(reference, key, missing, seed).withColumn("origin", F.lit("reference"))
     return tagged.unionByName(extra.select(*tagged.columns))
+
+
+def time_holdout(
+    labeled: DataFrame, fraction: float = 0.25, ts: str = "created_at", key: str = "prediction_id"
+) -> DataFrame:
+    """Add ``part``: the newest ``max(1, round(n * fraction))`` rows are the holdout.
+
+    The boundary instant comes from counts per distinct instant; rows that share it are
+    divided by their hash draw. Both steps reduce to a few numbers, so labelling the rows
+    is a map without a shuffle and one very common instant does no harm.
+    """
+    counts = labeled.groupBy(ts).agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(counts.withColumn("_at", F.unix_micros(F.col(ts).cast("timestamp"))), "_at", ["n"])
+    held = F.greatest(F.lit(1), F.bround(F.col("n_all") * F.lit(fraction)).cast("long"))
+    newer = F.col("n_all") - F.col("n_before") - F.col("n")
+    boundary = (
+        ranked.where((newer < held) & (held <= newer + F.col("n")))
+        .agg(F.first(F.struct(F.col(ts).alias("at"), (held - newer).alias("quota"))))
+        .scalar()
+    )
+    marked = labeled.withColumn("_cut", boundary).withColumn(
+        "_quota", F.when(F.col(ts) == F.col("_cut.at"), F.col("_cut.quota"))
+    )
+
+    def first_train_row(_: Column) -> Column:
+        return F.array(F.col("_g").cast("long") + 1)
+
+    ties = marked.where(F.col("_quota").isNotNull())
+    split = cutoffs_passed(marked, "_past", [key], "holdout", first_train_row, "_quota", ties=ties)
+    newest = (F.col(ts) > F.col("_cut.at")) | (F.col("_quota").isNotNull() & (F.col("_past") == 0))
+    return split.withColumn(
+        "part", F.when(newest, F.lit("holdout")).otherwise("train")
+    ).drop("_cut", "_quota", "_past")
