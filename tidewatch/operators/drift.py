@@ -17,7 +17,6 @@ from tidewatch.functions.columns import (
     bucket_of,
     chi_squared_survival,
     finite,
-    interpolate,
     kolmogorov_survival,
     linear_interior_probabilities,
     number_of,
@@ -25,6 +24,7 @@ from tidewatch.functions.columns import (
     smoothed_share,
 )
 from tidewatch.operators.ordering import running_totals
+from tidewatch.operators.quantiles import quantile_aggregates
 
 NAN = float("nan")
 
@@ -104,19 +104,8 @@ def category_counts(
 
 
 def _edges(bins: int) -> Column:
-    """Interior quantiles of the reference side, from running counts over distinct values."""
-
-    def value_at(index: Column) -> Column:
-        return F.min(F.when(F.col("n_ref_before") + F.col("n_ref") > index, F.col("value")))
-
-    quantiles = []
-    for q in linear_interior_probabilities(bins):
-        spot = (F.col("n_ref_all") - 1) * F.lit(q)
-        low = F.floor(spot)
-        high = F.least(low + 1, F.col("n_ref_all") - 1)
-        quantiles.append(
-            interpolate(value_at(low), value_at(high), F.max(spot - low))
-        )
+    """Distinct interior quantiles of the reference side."""
+    quantiles = quantile_aggregates(linear_interior_probabilities(bins), "n_ref")
     return F.array_distinct(F.filter(F.array(*quantiles), lambda e: e.isNotNull()))
 
 

@@ -75,14 +75,24 @@ def permute_column(
 
 
 def top_up(
-    fresh: DataFrame, reference: DataFrame, key: str, missing: int, seed: int | str = 42
+    fresh: DataFrame, reference: DataFrame, key: str, min_rows: int, seed: int | str = 42
 ) -> DataFrame:
-    """Append ``min(missing, rows)`` sampled reference rows; adds ``origin``."""
+    """Append sampled reference rows until there are ``min_rows``, as far as they reach.
+
+    Adds ``origin`` ('fresh' / 'reference'). How many rows are missing is a scalar subquery,
+    so nothing has to be counted on the driver first.
+    """
+    short = fresh.agg(F.greatest(F.lit(0), F.lit(min_rows) - F.count(F.lit(1)))).scalar()
+
+    def first_unused_row(_: Column) -> Column:
+        return F.array(F.col("_g").cast("long") + 1)
+
+    pool = reference.withColumn("_quota", short)
+    chosen = cutoffs_passed(pool, "_past", [key], seed, first_unused_row, by="_quota").where(
+        F.col("_past") == 0
+    )
     tagged = fresh.withColumn("origin", F.lit("fresh"))
-    if missing <= 0:
-        return tagged
-    extra = exact_sample(reference, key, missing, seed).withColumn("origin", F.lit("reference"))
-    return tagged.unionByName(extra.select(*tagged.columns))
+    return tagged.unionByName(chosen.withColumn("origin", F.lit("reference")).select(*tagged.columns))
 
 
 def time_holdout(
