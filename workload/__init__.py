@@ -1 +1,6 @@
 """The registered workload: views over the given tables, queries and their SQL oracles."""
+
+from workload import customers, distributions, scores
+from workload.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "customers", "distributions", "scores"]
