@@ -69,17 +69,16 @@ def linear_interior_probabilities(bins: int) -> list[float]:
     return [i * step for i in range(1, bins)]
 
 
-def interpolate(low: Column, high: Column, fraction: Column) -> Column:
-    """Linear interpolation, anchored at the nearer end so that equal ends stay exact."""
-    gap = high - low
-    return F.when(fraction < 0.5, low + gap * fraction).otherwise(high - gap * (1 - fraction))
+def bucket_of(edges: str, value: str, at_most: int) -> Column:
+    """Number of edges that are <= value, for an array of up to ``at_most`` edges.
 
-
-def bucket_of(edges: Column | str, value: Column | str) -> Column:
-    """Number of edges that are <= value. Never NULL, so it can be a join or window key."""
-    edges = F.col(edges) if isinstance(edges, str) else edges
-    value = F.col(value) if isinstance(value, str) else value
-    return F.coalesce(F.size(F.filter(edges, lambda e: e <= value)), F.lit(0))
+    Written out as a sum of comparisons: it stays in generated code, unlike a lambda, and
+    is never NULL, so it can be a grouping key.
+    """
+    tests = [
+        f"CAST(coalesce(get({edges}, {i}) <= {value}, false) AS INT)" for i in range(at_most)
+    ]
+    return F.expr(" + ".join(tests) if tests else "0")
 
 
 def smoothed_share(count: Column, total: Column, floor: float = 1e-4) -> Column:

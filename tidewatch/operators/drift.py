@@ -24,7 +24,7 @@ from tidewatch.functions.columns import (
     smoothed_share,
 )
 from tidewatch.operators.ordering import running_totals
-from tidewatch.operators.quantiles import quantile_aggregates
+from tidewatch.operators.quantiles import quantiles_of_ranked
 
 NAN = float("nan")
 
@@ -103,10 +103,11 @@ def category_counts(
     return _count_sides(sides[0].unionAll(sides[1]), "category")
 
 
-def _edges(bins: int) -> Column:
-    """Distinct interior quantiles of the reference side."""
-    quantiles = quantile_aggregates(linear_interior_probabilities(bins), "n_ref")
-    return F.array_distinct(F.filter(F.array(*quantiles), lambda e: e.isNotNull()))
+def _edges(ranked: DataFrame, bins: int, **carry: Column) -> DataFrame:
+    """(feature, total, edges, *carry): distinct interior quantiles of the reference side."""
+    found = quantiles_of_ranked(ranked, linear_interior_probabilities(bins), "n_ref", carry)
+    edges = F.expr("array_distinct(array_compact(quantiles))")
+    return found.withColumn("edges", edges).drop("quantiles")
 
 
 def _ranked(counts: DataFrame) -> DataFrame:
@@ -117,7 +118,7 @@ def quantile_edges(reference: DataFrame, columns: Sequence[str], bins: int = 10)
     """(feature, edges): distinct interior quantiles with linear interpolation, exact."""
     nothing = reference.limit(0)
     ranked = _ranked(numeric_counts(reference, nothing, columns))
-    return ranked.groupBy("feature").agg(_edges(bins).alias("edges"))
+    return _edges(ranked, bins).select("feature", "edges")
 
 
 def _gap() -> Column:
@@ -171,9 +172,7 @@ def numeric_drift(
 ) -> DataFrame:
     """PSI, KS and summaries for every numeric column; one row per column."""
     counts = numeric_counts(reference, current, columns)
-    shape = _ranked(counts).groupBy("feature").agg(
-        _edges(bins).alias("edges"), F.max(_gap()).alias("gap")
-    )
+    shape = _edges(_ranked(counts), bins, gap=_gap())
     sums = counts.groupBy("feature").agg(*_moments("ref"), *_moments("cur"))
     # One row per monitored column: as long as the column list, whatever the table size.
     fitted = shape.join(sums, "feature").select(
@@ -188,7 +187,7 @@ def numeric_drift(
     }
     buckets = (
         counts.join(F.broadcast(fitted), "feature")
-        .withColumn("bucket", bucket_of("edges", "value"))
+        .withColumn("bucket", bucket_of("edges", "value", bins - 1))
         .groupBy("feature", "bucket")
         .agg(
             F.sum("n_ref").alias("b_ref"),
@@ -237,19 +236,13 @@ def psi_numeric(
 ) -> DataFrame:
     """(feature, psi) over quantile bins of the reference; NaN if a side has no values."""
     counts = numeric_counts(reference, current, columns)
-    fitted = _ranked(counts).groupBy("feature").agg(
-        _edges(bins).alias("edges"),
-        F.max("n_ref_all").alias("t_ref"),
-        F.max("n_cur_all").alias("t_cur"),
+    fitted = _edges(_ranked(counts), bins, t_cur=F.col("n_cur_all")).withColumnRenamed(
+        "total", "t_ref"
     )
-    return _psi_over_buckets(counts, fitted, [])
-
-
-def _psi_over_buckets(counts: DataFrame, fitted: DataFrame, by: Sequence[str]) -> DataFrame:
     buckets = (
         counts.join(F.broadcast(fitted), "feature")  # one row per monitored column
         .where(F.col("value").isNotNull())
-        .groupBy(*by, "feature", bucket_of("edges", "value").alias("bucket"))
+        .groupBy("feature", bucket_of("edges", "value", bins - 1).alias("bucket"))
         .agg(
             F.sum("n_ref").alias("b_ref"),
             F.sum("n_cur").alias("b_cur"),
@@ -262,7 +255,7 @@ def _psi_over_buckets(counts: DataFrame, fitted: DataFrame, by: Sequence[str]) -
         smoothed_share(F.col("b_cur"), F.col("t_cur")),
     )
     both = (F.col("t_ref") > 0) & (F.col("t_cur") > 0)
-    return buckets.groupBy(*by, "feature").agg(
+    return buckets.groupBy("feature").agg(
         F.coalesce(F.sum(F.when(both, term)), F.lit(NAN)).alias("psi")
     )
 
@@ -422,10 +415,10 @@ def windowed_drift(
     the current side is reduced to (window, feature, bucket) counts on the map side.
     """
     counts = numeric_counts(reference, reference.limit(0), columns).where("value IS NOT NULL")
-    edges = _ranked(counts).groupBy("feature").agg(_edges(bins).alias("edges"))
+    edges = _edges(_ranked(counts), bins).select("feature", "edges")
     expected = (
         counts.join(F.broadcast(edges), "feature")
-        .groupBy("feature", bucket_of("edges", "value").alias("bucket"))
+        .groupBy("feature", bucket_of("edges", "value", bins - 1).alias("bucket"))
         .agg(F.sum("n_ref").alias("n"), F.first("edges").alias("edges"))
         .groupBy("feature")
         .agg(
@@ -442,7 +435,7 @@ def windowed_drift(
         wide.unpivot(["window_start"], list(columns), "feature", "value")
         .where("value IS NOT NULL")
         .join(F.broadcast(expected.select("feature", "edges")), "feature")
-        .groupBy("window_start", "feature", bucket_of("edges", "value").alias("bucket"))
+        .groupBy("window_start", "feature", bucket_of("edges", "value", bins - 1).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("window_start", "feature")
         .agg(

@@ -9,21 +9,21 @@ added afterwards.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from math import ceil, sqrt
+from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import bucket_of, uniform
+from tidewatch.functions.columns import uniform
 
 HASH_SLICES = 1 << 16
 
 
 def default_slices(df: DataFrame) -> int:
-    """Four slices per shuffle partition: enough tasks for the cluster at hand."""
+    """Several slices per shuffle partition, as a power of two; at least 128."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(4 * partitions, 16384))
+    return 1 << min(14, max(7, ceil(log2(4 * partitions))))
 
 
 def with_slices(df: DataFrame, order: str, totals: Sequence[str], slices: int) -> DataFrame:
@@ -31,55 +31,54 @@ def with_slices(df: DataFrame, order: str, totals: Sequence[str], slices: int) -
 
     The cut points come from one scalar subquery over the same input. It also sums
     ``totals``, which keeps its column list equal to the main branch, so that Spark reuses
-    the shuffle below instead of computing it again. Comparison runs in two levels
-    (every 'stride'-th cut first), about 2*sqrt(slices) comparisons per row.
+    the shuffle below instead of computing it again. The slice is found by a binary search
+    spelled out as log2(slices) projections, which stay inside generated code.
     """
-    stride = ceil(sqrt(slices))
-    points = [i / slices for i in range(1, slices)]
+    points = ", ".join(f"{i / slices}D" for i in range(1, slices))
     cuts = df.agg(
         F.struct(
-            F.percentile_approx(order, points, max(10000, 20 * slices)).alias("cuts"),
+            F.expr(
+                f"percentile_approx(`{order}`, array({points}), {max(10000, 20 * slices)})"
+            ).alias("cuts"),
             *[F.sum(t).alias(f"t{i}") for i, t in enumerate(totals)],
         ).alias("s")
     ).scalar()
-    coarse = bucket_of(
-        F.filter(F.col("_cuts"), lambda _, i: (i + 1) % F.lit(stride) == 0), order
-    )
-    fine = bucket_of(F.slice("_cuts", F.col("_coarse") * stride + 1, F.lit(stride)), order)
-    return (
-        df.withColumn("_cuts", cuts["cuts"])
-        .withColumn("_coarse", coarse)
-        .withColumn(
+    found = df.withColumn("_cuts", cuts["cuts"]).withColumn("_slice", F.lit(0))
+    step = slices // 2
+    while step:
+        found = found.withColumn(
             "_slice",
-            F.col("_coarse") * stride + F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(fine),
+            F.expr(f"_slice + IF(coalesce(get(_cuts, _slice + {step - 1}) <= `{order}`, false), {step}, 0)"),
         )
-        .drop("_cuts", "_coarse")
-    )
+        step //= 2
+    return found.drop("_cuts")
 
 
 def sum_by_slices(
     sliced: DataFrame, order: Sequence[str], totals: Sequence[str], by: Sequence[str]
 ) -> DataFrame:
     """Exclusive running sums given ``_slice``; see :func:`running_totals`."""
-    # A struct compares NULL fields as equal, so a NULL group key joins like any other.
-    grouped = sliced.withColumn("_g", F.struct(*by)) if by else sliced
-    group = ["_g"] if by else []
-    inside = W.partitionBy(*group, "_slice").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    # A struct compares NULL fields as equal, so a NULL group key joins like any other;
+    # keys that cannot be NULL stay plain columns, which sort faster.
+    plain = not any(sliced.schema[c].nullable for c in by)
+    grouped = sliced if plain else sliced.withColumn("_g", F.struct(*by))
+    group = list(by) if plain else ["_g"]
+    keys = ["_slice", *group]
+    inside = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     local = grouped.select(
         "*", *[F.coalesce(F.sum(t).over(inside), F.lit(0)).alias(f"_in_{t}") for t in totals]
     )
     # One row per (group, slice): the window below sees at most `slices` rows per group.
-    per_slice = grouped.groupBy(*group, "_slice").agg(*[F.sum(t).alias(f"_s_{t}") for t in totals])
+    per_slice = grouped.groupBy(*keys).agg(*[F.sum(t).alias(f"_s_{t}") for t in totals])
     before = W.partitionBy(*group).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = per_slice.select(
-        *group,
-        "_slice",
+        *keys,
         *[F.coalesce(F.sum(f"_s_{t}").over(before), F.lit(0)).alias(f"_off_{t}") for t in totals],
         *[F.sum(f"_s_{t}").over(W.partitionBy(*group)).alias(f"{t}_all") for t in totals],
     )
     # The join keys equal the window's partitioning, so only `offsets` has to move;
     # whether it is broadcast is left to adaptive execution, which knows its size.
-    return local.join(offsets, [*group, "_slice"]).select(
+    return local.join(offsets, keys).select(
         *sliced.drop("_slice").columns,
         *[(F.col(f"_in_{t}") + F.col(f"_off_{t}")).alias(f"{t}_before") for t in totals],
         *[f"{t}_all" for t in totals],

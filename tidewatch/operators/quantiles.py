@@ -6,12 +6,12 @@ Here values are counted by a shuffle and the rank is found from running counts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import interpolate, number_of
+from tidewatch.functions.columns import number_of
 from tidewatch.operators.ordering import running_totals
 
 
@@ -26,20 +26,56 @@ def value_counts(df: DataFrame, columns: Sequence[str], count: str = "n") -> Dat
     )
 
 
-def quantile_aggregates(probabilities: Sequence[float], count: str = "n") -> list[Column]:
-    """Linear-interpolation quantiles, as aggregates over running counts of distinct values."""
-    before, total = F.col(f"{count}_before"), F.col(f"{count}_all")
-
-    def value_at(index: Column) -> Column:
-        return F.min(F.when(before + F.col(count) > index, F.col("value")))
+def quantiles_of_ranked(
+    ranked: DataFrame,
+    probabilities: Sequence[float],
+    count: str = "n",
+    carry: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """(feature, total, quantiles, *carry) from running counts over distinct values.
 
-    found = []
-    for q in probabilities:
-        spot = (total - 1) * F.lit(float(q))
-        low = F.floor(spot)
-        high = F.least(low + 1, total - 1)
-        found.append(interpolate(value_at(low), value_at(high), F.max(spot - low)))
-    return found
+    A row is first labelled with how many of the wanted ranks it has passed; per feature
+    that leaves about twice as many groups as quantiles, and picking the values is cheap.
+    ``carry`` holds further per-row columns whose maximum is wanted.
+    """
+    carry = carry or {}
+    reached, total = f"({count}_before + {count})", f"{count}_all"
+    spots = [f"({total} - 1) * {float(q)}D" for q in probabilities]
+    # For whole numbers c > floor(x) is c > x, and c > floor(x) + 1 is c - 1 > x.
+    lows = " + ".join(f"IF({reached} > {spot}, 1, 0)" for spot in spots)
+    highs = " + ".join(f"IF({reached} - 1 > {spot}, 1, 0)" for spot in spots)
+    passed = {
+        "_lows": lows,
+        "_highs": f"IF({reached} = {total}, {len(spots)}, {highs})",
+    }
+    marks = ranked.groupBy(
+        "feature", *[F.expr(text).alias(name) for name, text in passed.items()]
+    ).agg(
+        F.min("value").alias("value"),
+        F.max(total).alias("total"),
+        *[F.max(column).alias(name) for name, column in carry.items()],
+    )
+    picked = marks.groupBy("feature").agg(
+        F.max("total").alias("total"),
+        *[
+            F.expr(f"min(CASE WHEN {side} > {i} THEN value END)").alias(f"{side}{i}")
+            for side in ("_lows", "_highs")
+            for i in range(len(probabilities))
+        ],
+        *[F.max(name).alias(name) for name in carry],
+    )
+    # Interpolation is anchored at the nearer end, so two equal ends give exactly that value.
+    cells = []
+    for i, q in enumerate(probabilities):
+        low, high = f"_lows{i}", f"_highs{i}"
+        fraction = f"((total - 1) * {float(q)}D - floor((total - 1) * {float(q)}D))"
+        cells.append(
+            f"IF({fraction} < 0.5D, {low} + ({high} - {low}) * {fraction}, "
+            f"{high} - ({high} - {low}) * (1D - {fraction}))"
+        )
+    return picked.select(
+        "feature", "total", F.expr(f"array({', '.join(cells)})").alias("quantiles"), *carry
+    )
 
 
 def exact_quantiles(
@@ -47,7 +83,7 @@ def exact_quantiles(
 ) -> DataFrame:
     """(feature, quantiles array) for numeric columns; a column without values has no row."""
     ranked = running_totals(value_counts(df, columns), "value", ["n"], by=["feature"])
-    return ranked.groupBy("feature").agg(F.array(*quantile_aggregates(probabilities)).alias("quantiles"))
+    return quantiles_of_ranked(ranked, probabilities).select("feature", "quantiles")
 
 
 def exact_median(df: DataFrame, column: str) -> Column:
