@@ -151,6 +151,7 @@ def live_performance(
     version: str | None = None,
     policy: MonitorPolicy = MonitorPolicy(),
     by: tuple[str, ...] = (),
+    slices: int | None = None,
 ) -> DataFrame:
     """Metrics on the champion's labeled rows; NULL metrics when they would say nothing.
 
@@ -160,7 +161,7 @@ def live_performance(
     rows = window.where("actual IS NOT NULL")
     if version is not None:
         rows = rows.where(F.col("model_version").cast("string") == str(version))
-    scored = binary_metrics(rows, "churn_probability", "actual", policy.threshold, by)
+    scored = binary_metrics(rows, "churn_probability", "actual", policy.threshold, by, slices)
     names = [c for c in scored.columns if c not in by and c != "n_samples"]
     n = F.coalesce(F.col("n_samples"), F.lit(0.0)).cast("long")
     usable = (n >= policy.min_labeled) & ~F.isnan("roc_auc")

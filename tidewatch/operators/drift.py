@@ -110,8 +110,8 @@ def _edges(ranked: DataFrame, bins: int, **carry: Column) -> DataFrame:
     return found.withColumn("edges", edges).drop("quantiles")
 
 
-def _ranked(counts: DataFrame) -> DataFrame:
-    return running_totals(counts, "value", ["n_ref", "n_cur"], by=["feature"])
+def _ranked(counts: DataFrame, slices: int | None = None) -> DataFrame:
+    return running_totals(counts, "value", ["n_ref", "n_cur"], ["feature"], slices)
 
 
 def quantile_edges(reference: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
@@ -168,11 +168,15 @@ def _missing(side: str) -> Column:
 
 
 def numeric_drift(
-    reference: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10
+    reference: DataFrame,
+    current: DataFrame,
+    columns: Sequence[str],
+    bins: int = 10,
+    slices: int | None = None,
 ) -> DataFrame:
     """PSI, KS and summaries for every numeric column; one row per column."""
     counts = numeric_counts(reference, current, columns)
-    shape = _edges(_ranked(counts), bins, gap=_gap())
+    shape = _edges(_ranked(counts, slices), bins, gap=_gap())
     sums = counts.groupBy("feature").agg(*_moments("ref"), *_moments("cur"))
     # One row per monitored column: as long as the column list, whatever the table size.
     fitted = shape.join(sums, "feature").select(
@@ -359,14 +363,18 @@ def drift_report(
     reference_scores: DataFrame | None = None,
     current_scores: DataFrame | None = None,
     score: str = "churn_probability",
+    slices: int | None = None,
 ) -> DataFrame:
     """One row per monitored column, and one for the model score when both are given.
 
+    ``slices=1`` suits two sides of a known small size, such as a bounded window against a
+    bounded baseline; see ``ordering.running_totals``.
+
     ``drift_detected`` is decided by PSI alone; a PSI that is not finite never alerts.
     """
     parts = []
     if numeric:
-        parts.append(numeric_drift(reference, current, numeric, policy.bins).withColumn("kind", F.lit("numeric")))
+        parts.append(numeric_drift(reference, current, numeric, policy.bins, slices).withColumn("kind", F.lit("numeric")))
     if categorical or binary:
         kind = F.when(F.col("feature").isin(list(binary)), F.lit("binary")).otherwise("categorical")
         parts.append(
@@ -374,7 +382,7 @@ def drift_report(
         )
     if reference_scores is not None and current_scores is not None:
         parts.append(
-            numeric_drift(reference_scores, current_scores, [score], policy.bins).withColumn(
+            numeric_drift(reference_scores, current_scores, [score], policy.bins, slices).withColumn(
                 "kind", F.lit("prediction")
             )
         )

@@ -103,9 +103,10 @@ def binary_metrics(
     label: str,
     threshold: float = 0.35,
     by: Sequence[str] = (),
+    slices: int | None = None,
 ) -> DataFrame:
     """All ten metrics in one row per group; ranking metrics are NaN when one class is absent."""
-    ranked = running_totals(score_counts(df, score, label, by), "p", ["pos", "neg"], by)
+    ranked = running_totals(score_counts(df, score, label, by), "p", ["pos", "neg"], by, slices)
     pos, neg, p = F.col("pos"), F.col("neg"), F.col("p")
     sums = ranked.groupBy(*by).agg(
         *_confusion(threshold),

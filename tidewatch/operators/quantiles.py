@@ -79,10 +79,13 @@ def quantiles_of_ranked(
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    slices: int | None = None,
 ) -> DataFrame:
     """(feature, quantiles array) for numeric columns; a column without values has no row."""
-    ranked = running_totals(value_counts(df, columns), "value", ["n"], by=["feature"])
+    ranked = running_totals(value_counts(df, columns), "value", ["n"], ["feature"], slices)
     return quantiles_of_ranked(ranked, probabilities).select("feature", "quantiles")
 
 

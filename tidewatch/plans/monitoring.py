@@ -13,6 +13,7 @@ from tidewatch.contract import CHURN
 from tidewatch.operators import cycles, decisions, drift, predictionlog
 from tidewatch.operators.decisions import MonitorPolicy, RetrainPolicy
 from tidewatch.operators.drift import DriftPolicy
+from tidewatch.operators.ordering import slices_for
 from tidewatch.plans import lifecycle
 from tidewatch.plans.retraining import RetrainOutcome, run_retraining
 from tidewatch.plans.training import TrainingPolicy
@@ -68,6 +69,7 @@ def run_cycle(
             facts["window_size"] = window.count()
             if facts["window_size"] >= policy.min_window:
                 reference, evaluation = ws.load_baseline(spark, model, current["version"])
+                reference = reference.persist()
                 report = drift.drift_report(
                     reference,
                     window,
@@ -77,11 +79,15 @@ def run_cycle(
                     drift_policy,
                     evaluation,
                     window,
+                    slices=slices_for(max(facts["window_size"], reference.count(), evaluation.count())),
                 ).persist()
                 features = _report_rows(report)
                 summary = drift.dataset_drift(report, drift_policy).first()
                 report.unpersist()
-                live = decisions.live_performance(window, facts["model_version"], policy).first()
+                reference.unpersist()
+                live = decisions.live_performance(
+                    window, facts["model_version"], policy, slices=slices_for(facts["window_size"])
+                ).first()
                 measured = live.asDict()
                 n_labeled, below = measured.pop("n_labeled"), measured.pop("below")
                 facts |= {

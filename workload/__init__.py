@@ -1,6 +1,6 @@
 """The registered workload: views over the given tables, queries and their SQL oracles."""
 
-from workload import customers, distributions, lifecycle, log, scores, traffic
+from workload import customers, distributions, lifecycle, log, scores, streams, traffic
 from workload.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "customers", "distributions", "lifecycle", "log", "scores", "traffic"]
+__all__ = ["ORACLES", "QUERIES", "customers", "distributions", "lifecycle", "log", "scores", "streams", "traffic"]
