@@ -16,12 +16,11 @@ from tidewatch.sources.tables import DuplicatePrediction, Workspace
 MODEL = "churn"
 START = datetime(2026, 1, 1)
 TRAINING = TrainingPolicy(
-    folds=3,
+    folds=2,
     min_rows=200,
     reference_rows=1000,
     candidates=(
-        Candidate("linear", "logistic_regression", {"C": [1.0]}),
-        Candidate("boosted", "hist_gradient_boosting", {"max_iter": [3], "max_depth": [3], "learning_rate": [0.3]}),
+        Candidate("linear", "logistic_regression", {"C": [0.1, 1.0]}),
     ),
     promotion=PromotionPolicy(minimums={"roc_auc": 0.7, "f1": 0.3}),
 )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewatch.contract import CHURN
 from tidewatch.functions.columns import decide_class, sigmoid
 from tidewatch.operators import drift, features, sampling, validation
+from tidewatch.operators.importance import permutation_importance as importance_of
 from tidewatch.operators.lineage import dataset_digest
 from tidewatch.operators.quantiles import exact_median
 from tidewatch.sources import synthetic
@@ -369,3 +370,42 @@ def topup_training(spark: SparkSession, sf: str) -> DataFrame:
 def gen_population(spark: SparkSession, sf: str) -> DataFrame:
     """One synthetic customer per order."""
     return synthetic.population(frame(spark, sf, "orders"), "o_orderkey", 42)
+
+
+def _importance_oracle() -> str:
+    """Rank, swap and score every (feature, repeat) copy; AUC by comparing average ranks."""
+    own = {f: f"CASE WHEN feature = '{f}' THEN g.{f} ELSE t.{f} END AS {f}" for f in CHURN.features}
+    give = "md5('42-give|' || feature || '|' || CAST(rep AS VARCHAR) || '|' || CAST(customer_id AS VARCHAR))"
+    draw = f"(CAST(('0x' || substr({give}, 1, 13))::BIGINT AS DOUBLE) / CAST(4503599627370496 AS DOUBLE))"
+    auc = """SELECT {keys}(sum(CASE WHEN churned = 1 THEN rk END) - sum(churned) * (sum(churned) + 1) / 2.0)
+      / (sum(churned) * CAST(sum(1 - churned) AS DOUBLE)) AS auc FROM (
+      SELECT *, rank() OVER ({part} ORDER BY p) + (count(*) OVER ({tie}) - 1) / 2.0 AS rk FROM {source}) {group}"""
+    scored = f"least(greatest(1 / (1 + exp(-CAST({_logit_sql(0.0, 65.0)} AS DOUBLE))), 1e-7), 1 - CAST(1e-7 AS DOUBLE)) AS p"
+    names = ", ".join(f"'{f}'" for f in CHURN.features)
+    base = auc.format(keys="", part="", tie="PARTITION BY p", source="bs", group="")
+    each = auc.format(
+        keys="feature, rep, ",
+        part="PARTITION BY feature, rep",
+        tie="PARTITION BY feature, rep, p",
+        source="ps",
+        group="GROUP BY feature, rep",
+    )
+    return f"""{CLEAN}, s AS (SELECT * FROM customer_features ORDER BY {u('42', 'customer_id')}, customer_id LIMIT 1000),
+copies AS (SELECT * FROM (SELECT unnest([{names}]) AS feature), (SELECT unnest(range(0, 5)) AS rep)),
+t AS (SELECT *, row_number() OVER (ORDER BY {u('42-take', 'customer_id')}, customer_id) AS r FROM s),
+g AS (SELECT *, row_number() OVER (PARTITION BY feature, rep ORDER BY {draw}, customer_id) AS r FROM s, copies),
+perm AS (SELECT g.feature, g.rep, t.customer_id, t.churned, {', '.join(own.values())} FROM t JOIN g ON g.r = t.r),
+bs AS (SELECT churned, {scored} FROM s), ps AS (SELECT feature, rep, churned, {scored} FROM perm),
+b AS ({base}), e AS ({each})
+SELECT feature, round(avg(b.auc - e.auc), 6) AS importance_mean, round(stddev_pop(b.auc - e.auc), 6) AS importance_std FROM e, b GROUP BY 1"""
+
+
+@query("permutation_importance", _importance_oracle())
+def permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
+    customers = frame(spark, sf, "customer_features")
+
+    def score(df: DataFrame) -> DataFrame:
+        return df.withColumn("probability_1", sigmoid(synthetic.churn_logit()))
+
+    found = importance_of(customers, score, "customer_id", "churned", CHURN.features)
+    return tidy(found)
