@@ -12,6 +12,7 @@ from tidewatch.plans import lifecycle, monitoring, retraining, scoring, training
 from tidewatch.plans.training import Candidate, TrainingPolicy
 from tidewatch.sources.synthetic import DriftProfile, generate_customers
 from tidewatch.sources.tables import DuplicatePrediction, Workspace
+from tidewatch.streaming import events, serving
 
 MODEL = "churn"
 START = datetime(2026, 1, 1)
@@ -126,6 +127,28 @@ def test_loop_detects_drift_debounces_retrains_and_promotes(spark, trained):
     assert (replaced["version"], replaced["value"]) == (2, "1")
 
 
+def test_a_stream_is_served_by_the_champion_of_the_moment(spark, trained, tmp_path):
+    ws, _ = trained
+    lifecycle.move_alias(spark, ws, MODEL, "champion", 1, START + timedelta(days=30))
+    customers = generate_customers(spark, 30, 4)
+    for part in (0, 1):
+        half = customers.where(F.crc32(F.col(CHURN.key).cast("binary")) % 2 == part)
+        half.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(customers.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    swaps = []
+    run = serving.serve_with_champion(
+        spark, ws, MODEL, F.current_timestamp(), F.md5(F.col(CHURN.key).cast("binary")),
+        swapped=lambda old, new: swaps.append((old, new)),
+    )
+    events.start(stream, run, f"{tmp_path}/cp").awaitTermination()
+    served = spark.read.parquet(ws.path("served"))
+    assert served.count() == 30 and swaps == [(None, 1)]
+    assert served.select("model_version").distinct().collect()[0][0] in ("1", 1)
+    model, *_ = scoring.load_model(spark, ws, f"models:/{MODEL}@champion")
+    direct = serving.score_stream(model, customers).agg(F.sum("churn_probability")).first()[0]
+    assert served.agg(F.sum("churn_probability")).first()[0] == pytest.approx(direct)
+
+
 def test_grid_and_estimators():
     assert training.expand_grid({"b": [1, 2], "a": ["x"]}) == [{"a": "x", "b": 1}, {"a": "x", "b": 2}]
     assert training.expand_grid({}) == [{}]

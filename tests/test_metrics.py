@@ -85,3 +85,11 @@ def test_live_performance_counts_the_champion_only(spark):
     assert live_performance(inverted, "2").first()["below"] == ["roc_auc"]
     few = live_performance(window, "2", MonitorPolicy(min_labeled=121)).first()
     assert (few["n_labeled"], few["roc_auc"]) == (120, None)
+
+
+def test_negatives_only_and_no_rows(spark):
+    row = all_metrics(spark, [0, 0], [0.2, 0.9])
+    assert math.isnan(row["roc_auc"]) and row["recall"] == 0 and row["accuracy"] == 0.5
+    empty = metrics.binary_metrics(frame(spark, [0], [0.1]).where("y = 1"), "p", "y").first()
+    assert empty["n_samples"] is None
+    assert metrics.roc_curve(frame(spark, [0, 0], [0.2, 0.9]), "p", "y").count() == 3

@@ -56,8 +56,11 @@ class Contract:
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
         """The contract as a table (one row per field), for joins and audit."""
+        def bound(value: float | None) -> float | None:
+            return None if value is None else float(value)
+
         rows = [
-            (i, f.name, f.role, f.lower, f.upper, list(f.domain), f.optional)
+            (i, f.name, f.role, bound(f.lower), bound(f.upper), list(f.domain), f.optional)
             for i, f in enumerate(self.fields)
         ]
         return spark.createDataFrame(

@@ -58,9 +58,8 @@ def finite(column: Column) -> Column:
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
     """``numerator / denominator`` as double, 0 where the denominator is 0."""
-    return F.when(denominator == 0, F.lit(0.0)).otherwise(
-        numerator.cast("double") / denominator.cast("double")
-    )
+    ratio = F.try_divide(numerator.cast("double"), denominator.cast("double"))
+    return F.when(denominator == 0, F.lit(0.0)).otherwise(ratio)
 
 
 def linear_interior_probabilities(bins: int) -> list[float]:
@@ -83,7 +82,7 @@ def bucket_of(edges: str, value: str, at_most: int) -> Column:
 
 def smoothed_share(count: Column, total: Column, floor: float = 1e-4) -> Column:
     """Share of a total, floored so that an empty bucket keeps the PSI finite."""
-    return F.greatest(count.cast("double") / total.cast("double"), F.lit(floor))
+    return F.greatest(F.try_divide(count.cast("double"), total.cast("double")), F.lit(floor))
 
 
 def psi_term(expected: Column, actual: Column) -> Column:

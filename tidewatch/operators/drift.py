@@ -122,15 +122,15 @@ def quantile_edges(reference: DataFrame, columns: Sequence[str], bins: int = 10)
 
 
 def _gap() -> Column:
-    ref = (F.col("n_ref_before") + F.col("n_ref")) / F.col("n_ref_all")
-    cur = (F.col("n_cur_before") + F.col("n_cur")) / F.col("n_cur_all")
+    ref = F.try_divide(F.col("n_ref_before") + F.col("n_ref"), F.col("n_ref_all"))
+    cur = F.try_divide(F.col("n_cur_before") + F.col("n_cur"), F.col("n_cur_all"))
     return F.abs(ref - cur)
 
 
 def _ks_columns() -> list[Column]:
     n_ref, n_cur = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
     both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
-    size = n_ref * n_cur / (n_ref + n_cur)
+    size = F.try_divide(n_ref * n_cur, n_ref + n_cur)
     return [
         F.when(both, F.col("gap")).otherwise(0.0).alias("statistic"),
         F.when(both, kolmogorov_survival(F.sqrt(size) * F.col("gap")))
@@ -158,13 +158,13 @@ def _moments(side: str) -> list[Column]:
     return [
         F.sum(n).alias(f"n_{side}"),
         F.sum(F.col(f"null_{side}")).alias(f"null_{side}"),
-        (F.sum(n * F.col("value")) / F.sum(n)).alias(f"mean_{side}"),
+        F.try_divide(F.sum(n * F.col("value")), F.sum(n)).alias(f"mean_{side}"),
     ]
 
 
 def _missing(side: str) -> Column:
     rows = F.col(f"n_{side}") + F.col(f"null_{side}")
-    return F.when(rows > 0, F.col(f"null_{side}") / rows)
+    return F.try_divide(F.col(f"null_{side}"), rows)
 
 
 def numeric_drift(
@@ -226,7 +226,7 @@ def numeric_drift(
             for s in ("ref", "cur")
             for c in (
                 F.col(f"mean_{s}"),
-                F.when(F.col(f"n_{s}") > 1, F.sqrt(F.col(f"ss_{s}") / (F.col(f"n_{s}") - 1))).alias(
+                F.when(F.col(f"n_{s}") > 1, F.sqrt(F.try_divide(F.col(f"ss_{s}"), F.col(f"n_{s}") - 1))).alias(
                     f"std_{s}"
                 ),
                 _missing(s).alias(f"missing_{s}"),
@@ -289,13 +289,13 @@ def categorical_drift(
     grand = F.col("t_ref") + F.col("t_cur")
 
     def residual(observed: str, total: str) -> Column:
-        expected = row * F.col(total) / grand
+        expected = F.try_divide(row * F.col(total), grand)
         distance = F.abs(F.col(observed) - expected)
         # Continuity correction for a 2 x 2 table, never past zero.
         distance = F.when(F.col("k") == 2, distance - F.least(F.lit(0.5), distance)).otherwise(
             distance
         )
-        return distance * distance / expected
+        return F.try_divide(distance * distance, expected)
 
     term = psi_term(
         smoothed_share(F.col("n_ref"), F.col("t_ref")),
@@ -319,8 +319,7 @@ def categorical_drift(
         F.col("t_ref").alias("n_ref"),
         F.col("t_cur").alias("n_cur"),
         *[
-            F.when(F.col(f"t_{s}") + F.col(f"m_{s}") > 0, F.col(f"m_{s}") / (F.col(f"t_{s}") + F.col(f"m_{s}")))
-            .alias(f"missing_{s}")
+            F.try_divide(F.col(f"m_{s}"), F.col(f"t_{s}") + F.col(f"m_{s}")).alias(f"missing_{s}")
             for s in ("ref", "cur")
         ],
     )
@@ -397,7 +396,7 @@ def dataset_drift(report: DataFrame, policy: DriftPolicy = DriftPolicy()) -> Dat
     """Roll-up of a report: share of drifted inputs, the flag and the score's PSI."""
     inputs = F.col("kind") != "prediction"
     drifted = inputs & F.col("drift_detected")
-    share = F.sum(drifted.cast("long")) / F.sum(inputs.cast("long"))
+    share = F.try_divide(F.sum(drifted.cast("long")), F.sum(inputs.cast("long")))
     return report.agg(
         F.sum(inputs.cast("long")).alias("n_features"),
         F.sum(drifted.cast("long")).alias("n_drifted"),

@@ -43,7 +43,7 @@ def engineer(df: DataFrame, market_price: Column | float) -> DataFrame:
     return typed.withColumns(
         {
             "total_charges": F.coalesce("total_charges", tenure * monthly),
-            "tickets_per_tenure_year": F.col("num_support_tickets") / (tenure / 12.0 + 1.0),
+            "tickets_per_tenure_year": F.try_divide(F.col("num_support_tickets"), tenure / 12.0 + 1.0),
             "charge_to_market_ratio": monthly / F.greatest(price, F.lit(1e-6)),
             "is_new_customer": F.coalesce(tenure < 6, F.lit(False)).cast("double"),
         }

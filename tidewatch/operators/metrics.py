@@ -42,14 +42,14 @@ def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ())
 def _roc_auc() -> Column:
     pairs = F.max("pos_all").cast("double") * F.max("neg_all")
     won = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0))
-    return F.when(pairs > 0, won / pairs).otherwise(F.lit(NAN))
+    return F.when(pairs > 0, F.try_divide(won, pairs)).otherwise(F.lit(NAN))
 
 
 def _average_precision() -> Column:
     """Step sum of recall gain x precision, taken at each distinct score from the top down."""
     hits = F.col("pos_all") - F.col("pos_before")
     flagged = hits + F.col("neg_all") - F.col("neg_before")
-    steps = F.sum(F.col("pos") / F.col("pos_all") * (hits / flagged))
+    steps = F.sum(F.try_divide(F.col("pos"), F.col("pos_all")) * F.try_divide(hits, flagged))
     both = (F.max("pos_all") > 0) & (F.max("neg_all") > 0)
     return F.when(both, steps).otherwise(F.lit(NAN))
 
@@ -198,8 +198,8 @@ def roc_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) ->
     points = ranked.select(
         *by,
         F.col("p").alias("threshold"),
-        ((F.col("neg_all") - F.col("neg_before")) / F.col("neg_all")).alias("fpr"),
-        ((F.col("pos_all") - F.col("pos_before")) / F.col("pos_all")).alias("tpr"),
+        F.try_divide(F.col("neg_all") - F.col("neg_before"), F.col("neg_all")).alias("fpr"),
+        F.try_divide(F.col("pos_all") - F.col("pos_before"), F.col("pos_all")).alias("tpr"),
         ((F.col("pos_before") == 0) & (F.col("neg_before") == 0)).alias("_lowest"),
     )
     origin = F.struct(
@@ -220,8 +220,8 @@ def pr_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> D
     points = ranked.select(
         *by,
         F.col("p").alias("threshold"),
-        (hits / F.col("pos_all")).alias("recall"),
-        (hits / flagged).alias("precision"),
+        F.try_divide(hits, F.col("pos_all")).alias("recall"),
+        F.try_divide(hits, flagged).alias("precision"),
         ((F.col("pos_before") == 0) & (F.col("neg_before") == 0)).alias("_lowest"),
     )
     end = F.struct(

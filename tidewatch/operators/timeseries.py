@@ -118,7 +118,8 @@ def _quantile(q: float, bounds: Sequence[float]) -> Column:
     lower, below = 0.0, F.lit(0)
     for i, upper in enumerate(bounds):
         here = F.col(f"le_{i}")
-        inside = F.lit(lower) + F.lit(float(upper) - lower) * (rank - below) / (here - below)
+        share = F.try_divide(rank - below, (here - below).cast("double"))
+        inside = F.lit(lower) + F.lit(float(upper) - lower) * share
         result = result.when((here >= rank) & (here > below), inside)
         lower, below = float(upper), here
     return result.otherwise(F.lit(lower))  # the rank is in the infinite bucket

@@ -62,7 +62,8 @@ def _tallies(df: DataFrame, field: Field) -> list[Column]:
 def _field_issues(field: Field, max_missing: float) -> list[Column]:
     n = F.col("n_rows")
     missing = F.col(f"{field.name}__missing")
-    percent = F.format_string("%.1f%%", 100.0 * missing / n)
+    share = F.try_divide(missing, n)
+    percent = F.format_string("%.1f%%", 100.0 * share)
     if field.optional:
         issues = [
             _issue(
@@ -70,7 +71,7 @@ def _field_issues(field: Field, max_missing: float) -> list[Column]:
                 "missing_fraction",
                 missing,
                 F.concat(percent, F.lit(f" missing, budget is {max_missing:.0%}")),
-                (n > 0) & (missing / n > F.lit(max_missing)),
+                share > F.lit(max_missing),
             )
         ]
     else:

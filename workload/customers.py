@@ -380,7 +380,7 @@ def _importance_oracle() -> str:
     auc = """SELECT {keys}(sum(CASE WHEN churned = 1 THEN rk END) - sum(churned) * (sum(churned) + 1) / 2.0)
       / (sum(churned) * CAST(sum(1 - churned) AS DOUBLE)) AS auc FROM (
       SELECT *, rank() OVER ({part} ORDER BY p) + (count(*) OVER ({tie}) - 1) / 2.0 AS rk FROM {source}) {group}"""
-    scored = f"least(greatest(1 / (1 + exp(-CAST({_logit_sql(0.0, 65.0)} AS DOUBLE))), 1e-7), 1 - CAST(1e-7 AS DOUBLE)) AS p"
+    scored = f"least(greatest(round(1 / (1 + exp(-CAST({_logit_sql(0.0, 65.0)} AS DOUBLE))), 9), 1e-7), 1 - CAST(1e-7 AS DOUBLE)) AS p"
     names = ", ".join(f"'{f}'" for f in CHURN.features)
     base = auc.format(keys="", part="", tie="PARTITION BY p", source="bs", group="")
     each = auc.format(
@@ -405,7 +405,8 @@ def permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
     customers = frame(spark, sf, "customer_features")
 
     def score(df: DataFrame) -> DataFrame:
-        return df.withColumn("probability_1", sigmoid(synthetic.churn_logit()))
+        # Rounded, so that scores equal on paper are ties in any order of addition.
+        return df.withColumn("probability_1", F.round(sigmoid(synthetic.churn_logit()), 9))
 
     found = importance_of(customers, score, "customer_id", "churned", CHURN.features)
     return tidy(found)
