@@ -122,20 +122,26 @@ def quantile_edges(reference: DataFrame, columns: Sequence[str], bins: int = 10)
 
 
 def _gap() -> Column:
-    ref = F.try_divide(F.col("n_ref_before") + F.col("n_ref"), F.col("n_ref_all"))
-    cur = F.try_divide(F.col("n_cur_before") + F.col("n_cur"), F.col("n_cur_all"))
-    return F.abs(ref - cur)
+    """Distance of the two cumulative shares at a value, times both totals.
+
+    Cross-multiplied, so that a row costs no division and equal shares give exactly 0.
+    """
+
+    def number(text: str) -> str:
+        return f"coalesce(CAST({text} AS DOUBLE), 0D)"
+
+    ref, cur = number("n_ref_before + n_ref"), number("n_cur_before + n_cur")
+    return F.expr(f"abs({ref} * {number('n_cur_all')} - {cur} * {number('n_ref_all')})")
 
 
 def _ks_columns() -> list[Column]:
     n_ref, n_cur = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
     both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
+    distance = F.try_divide(F.col("gap"), n_ref * n_cur)
     size = F.try_divide(n_ref * n_cur, n_ref + n_cur)
     return [
-        F.when(both, F.col("gap")).otherwise(0.0).alias("statistic"),
-        F.when(both, kolmogorov_survival(F.sqrt(size) * F.col("gap")))
-        .otherwise(1.0)
-        .alias("p_value"),
+        F.when(both, distance).otherwise(0.0).alias("statistic"),
+        F.when(both, kolmogorov_survival(F.sqrt(size) * distance)).otherwise(1.0).alias("p_value"),
     ]
 
 
@@ -240,12 +246,11 @@ def psi_numeric(
 ) -> DataFrame:
     """(feature, psi) over quantile bins of the reference; NaN if a side has no values."""
     counts = numeric_counts(reference, current, columns)
-    fitted = _edges(_ranked(counts), bins, t_cur=F.col("n_cur_all")).withColumnRenamed(
+    fitted = _edges(_ranked(counts), bins, t_cur=F.expr("n_cur_before + n_cur")).withColumnRenamed(
         "total", "t_ref"
     )
     buckets = (
         counts.join(F.broadcast(fitted), "feature")  # one row per monitored column
-        .where(F.col("value").isNotNull())
         .groupBy("feature", bucket_of("edges", "value", bins - 1).alias("bucket"))
         .agg(
             F.sum("n_ref").alias("b_ref"),
@@ -421,7 +426,7 @@ def windowed_drift(
     Edges and reference bucket counts are fitted once and are one small row per column;
     the current side is reduced to (window, feature, bucket) counts on the map side.
     """
-    counts = numeric_counts(reference, reference.limit(0), columns).where("value IS NOT NULL")
+    counts = numeric_counts(reference, reference.limit(0), columns)
     edges = _edges(_ranked(counts), bins).select("feature", "edges")
     expected = (
         counts.join(F.broadcast(edges), "feature")

@@ -39,16 +39,24 @@ def quantiles_of_ranked(
     ``carry`` holds further per-row columns whose maximum is wanted.
     """
     carry = carry or {}
-    reached, total = f"({count}_before + {count})", f"{count}_all"
-    spots = [f"({total} - 1) * {float(q)}D" for q in probabilities]
+    total = f"{count}_all"
+    # Ranks as doubles that cannot be NULL: the comparisons below then compile to a few
+    # instructions each. Whole numbers up to 2**53 stay exact.
+    placed = ranked.withColumns(
+        {
+            "_reached": F.expr(f"coalesce(CAST({count}_before + {count} AS DOUBLE), 0D)"),
+            "_last": F.expr(f"coalesce(CAST({total} - 1 AS DOUBLE), 0D)"),
+        }
+    )
+    spots = [f"_last * {float(q)}D" for q in probabilities]
     # For whole numbers c > floor(x) is c > x, and c > floor(x) + 1 is c - 1 > x.
-    lows = " + ".join(f"IF({reached} > {spot}, 1, 0)" for spot in spots)
-    highs = " + ".join(f"IF({reached} - 1 > {spot}, 1, 0)" for spot in spots)
     passed = {
-        "_lows": lows,
-        "_highs": f"IF({reached} = {total}, {len(spots)}, {highs})",
+        "_lows": " + ".join(f"CAST(_reached > {spot} AS INT)" for spot in spots),
+        "_highs": f"IF(_reached > _last, {len(spots)}, "
+        + " + ".join(f"CAST(_reached - 1D > {spot} AS INT)" for spot in spots)
+        + ")",
     }
-    marks = ranked.groupBy(
+    marks = placed.groupBy(
         "feature", *[F.expr(text).alias(name) for name, text in passed.items()]
     ).agg(
         F.min("value").alias("value"),
