@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidewatch.llm import kdtree, mixing, packbits, packing, quality, toxicity, warc
+from tidewatch.llm import cells, kdtree, mixing, packbits, packing, quality, toxicity, warc
 from tidewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,8 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 @query("op4_exact_top_k", TOP_SQL)
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op2_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cells.near_duplicates(table(spark, sf_dir, "embeddings"))
