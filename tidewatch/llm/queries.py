@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidewatch.llm import cells, kdtree, mixing, packbits, packing, quality, toxicity, warc
+from tidewatch.llm import cells, kdtree, mixing, packbits, packing, quality, setsketch, toxicity, warc
 from tidewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,8 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_embedding_near_dedup")
 def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_setsketch_near_dedup")
+def setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), size=4)
