@@ -25,12 +25,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import kept, text_or_empty
+from tidewatch.llm.common import kept, partitions_for, text_or_empty
 from tidewatch.llm.components import components
 
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 REGISTERS, PER_BAND = 128, 4
-HUBS, ROUNDS = 3, 4
+HUBS, ROUNDS = 3, 3
 PER_ROW = 8  # estimates per row of a bucket that a last comparison may take
 BLOCK = 1024
 SLACK = 0.17  # estimates this much below the threshold are misses (over 4.5 standard deviations)
@@ -127,7 +127,7 @@ def sketched(docs: DataFrame, size: int) -> DataFrame:
 
 
 def banded(nodes: DataFrame) -> DataFrame:
-    """(bucket, node) for every band of a node's registers."""
+    """(bucket, band, node) for every band of a node's registers."""
 
     def split(batches):
         for batch in batches:
@@ -140,9 +140,12 @@ def banded(nodes: DataFrame) -> DataFrame:
                     key ^= key >> np.uint64(31)
                 key *= np.uint64(ODD[1])
                 node = np.repeat(part.column(0).to_numpy(), r.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(node)], names=["bucket", "node"])
+                band = np.tile(np.arange(r.shape[1], dtype=np.int32), len(r))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.ravel().view(np.int64)), pa.array(band), pa.array(node)], names=["bucket", "band", "node"]
+                )
 
-    return nodes.select("node", "sketch").mapInArrow(split, "bucket long, node long")
+    return nodes.select("node", "sketch").mapInArrow(split, "bucket long, band int, node long")
 
 
 def estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -162,10 +165,10 @@ def estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
     return joined.select("a", "b", "sa", "sb", "na", "nb").mapInArrow(keep, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, threshold: float) -> DataFrame:
-    """Pairs (a, b) whose full sets are as similar as asked."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "doc_id"), "node")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty()).join(wanted, "doc_id")
+def full_sets(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, items) of the wanted nodes, from their texts."""
+    asked = wanted.join(nodes.select("node", "doc_id"), "node")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty()).join(asked, "doc_id")
 
     def full(batches):
         known: dict[bytes, int] = {}
@@ -179,7 +182,17 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, thr
             made = pa.RecordBatch.from_arrays([batch.column(2), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "items"])
             yield made.filter(pa.array(same, pa.bool_()))
 
-    sets = kept(texts.select("doc_id", "text", "node").mapInArrow(full, "node long, items binary").dropDuplicates(["node"]), "sets")
+    made = texts.select("doc_id", "text", "node").mapInArrow(full, "node long, items binary")
+    return made.dropDuplicates(["node"])
+
+
+def common(x: np.ndarray, y: np.ndarray) -> int:
+    at = np.searchsorted(y, x)
+    return int((y[np.minimum(at, len(y) - 1)] == x).sum())
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) whose full sets are as similar as asked."""
     side = lambda c: sets.select(F.col("node").alias(c), F.col("items").alias(f"s{c}"))
 
     def check(batches):
@@ -188,42 +201,66 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, thr
             good = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+                both = common(x, y)
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
-def across(unsettled: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of different components in a bucket that the sketches do not rule out, by blocks."""
+def across(unsettled: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links between different components in a bucket, enough to join what belongs together.
+
+    A bucket is compared in blocks; a pair is tested in the first bucket that both share, and
+    only while its components are still apart. Nothing but links leaves a task.
+    """
     blocks = unsettled.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"))
     own = F.pmod(F.xxhash64("node", F.lit("block")), F.col("k"))
     dealt = (
         unsettled.join(blocks, "bucket")
         .withColumn("own", own)
-        .select("bucket", "node", "root", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("other"))
-        .select("bucket", "node", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        .select("bucket", "band", "node", "root", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("other"))
+        .select("bucket", "band", "node", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
         .join(nodes.select("node", "n", "sketch"), "node")
+        .join(sets, "node")
     )
 
     def cross(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         _, i, j = key
-        left, right = group[group["own"] == i], group[group["own"] == j]
+        percent = int(round(100 * threshold))
+        group = group.sort_values("node")
+        left = np.flatnonzero((group["own"] == i).to_numpy())
+        right = np.flatnonzero((group["own"] == j).to_numpy())
+        band, node = int(group["band"].iat[0]), group["node"].to_numpy()
+        x = np.frombuffer(b"".join(group["sketch"]), np.uint16).reshape(len(group), REGISTERS // PER_BAND, PER_BAND)
+        n = group["n"].to_numpy().astype(float)
+        items = [np.frombuffer(s, np.uint64) for s in group["items"]]
+        roots, part = np.unique(group["root"].to_numpy(), return_inverse=True)
         out = []
-        x, y = (np.frombuffer(b"".join(g["sketch"]), np.uint16).reshape(-1, REGISTERS) for g in (left, right))
-        m, n = (g["n"].to_numpy().astype(float) for g in (left, right))
-        for r in range(len(left)):
-            near = (right["root"].to_numpy() != left["root"].iat[r]) & (np.minimum(m[r], n) >= threshold * np.maximum(m[r], n) - 1e-9)
-            if i == j:
-                near[: r + 1] = False
-            cols = np.flatnonzero(near)
-            if len(cols):
-                est = likeliest((x[r] > y[cols]).sum(axis=1), (x[r] < y[cols]).sum(axis=1), np.full(len(cols), m[r]), n[cols])
-                out.extend((left["node"].iat[r], right["node"].iat[c]) for c in cols[est >= threshold - SLACK])
+        for r in left:
+            cols = right[right > r] if i == j else right
+            cols = cols[part[cols] != part[r]]
+            cols = cols[np.minimum(n[r], n[cols]) * 100 >= percent * np.maximum(n[r], n[cols])]
+            if not len(cols):
+                continue
+            if band:  # shared in an earlier band: tested there
+                cols = cols[~(x[cols, :band] == x[r, :band]).all(axis=2).any(axis=1)]
+            a, b = x[r].ravel(), x[cols].reshape(len(cols), REGISTERS)
+            same = (a == b).sum(axis=1)
+            cols, b = cols[same >= REGISTERS // 4], b[same >= REGISTERS // 4]  # far below any likely pair
+            if not len(cols):
+                continue
+            est = likeliest((a > b).sum(axis=1), (a < b).sum(axis=1), np.full(len(cols), n[r]), n[cols])
+            order = np.argsort(-est, kind="stable")
+            for c in cols[order[: int((est >= threshold - SLACK).sum())]]:
+                if part[c] != part[r]:
+                    both = common(items[r], items[c])
+                    if 100 * both >= percent * (len(items[r]) + len(items[c]) - both):
+                        part[part == part[c]] = part[r]
+                        out.append((node[r], node[c]))
         return pd.DataFrame({"a": [min(p) for p in out], "b": [max(p) for p in out]}, dtype="int64")
 
+    dealt = dealt.repartition(partitions_for(unsettled.sparkSession), "bucket", "i", "j")
     return dealt.groupBy("bucket", "i", "j").applyInPandas(cross, "a long, b long").distinct()
 
 
@@ -239,12 +276,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> D
     bands = kept(banded(nodes), "bands")
     open_buckets = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket")
     shared = kept(bands.join(open_buckets, "bucket"), "shared")
+    sets = kept(full_sets(shared.select("node").distinct(), docs, nodes, size), "sets")
     rows = shared.count()
-    links, tried, turn = None, None, 0
+    links, turn = None, 0
     unsettled, last = shared.withColumn("root", F.col("node")), False
     while True:
         if last:
-            pairs = across(unsettled, nodes, threshold)
+            new = kept(across(unsettled, nodes, sets, threshold), "links")
         else:
             digest = [F.xxhash64("node", F.lit(turn * HUBS + h)) for h in range(HUBS)]
             hubs = unsettled.groupBy("bucket").agg(*[F.min_by(F.struct("node", "root"), d).alias(f"h{h}") for h, d in enumerate(digest)])
@@ -256,15 +294,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> D
                 .select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b"))
                 .distinct()
             )
-        pairs = kept(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        likely = kept(estimated(pairs, nodes, threshold), "likely")
-        new = kept(verified(likely, docs, nodes, size, threshold), "links")
+            likely = kept(estimated(pairs, nodes, threshold), "likely")
+            new = kept(verified(likely, sets, threshold), "links")
         links = new if links is None else links.unionByName(new)
         roots = components(links)
         if last:
             break
-        labelled = shared.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+        labelled = shared.join(roots, "node", "left").select("bucket", "band", "node", F.coalesce("root", "node").alias("root"))
         parts = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).cast("double").alias("c"))
         several = kept(
             parts.groupBy("bucket")
