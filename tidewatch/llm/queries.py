@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidewatch.llm import cells, kdtree, mixing, packbits, packing, quality, setsketch, toxicity, warc
+from tidewatch.llm import cells, kdtree, mixing, packbits, packing, quality, repeats, setsketch, toxicity, warc
 from tidewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,8 @@ def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_setsketch_near_dedup")
 def setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
+@query("op6_run_index_dedup")
+def run_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
