@@ -30,7 +30,7 @@ from tidewatch.llm.common import kept, text_or_empty
 BUCKETS = 1 << 16
 DIMENSIONS = 8
 GRAMS = (3, 4)
-EPOCHS = 6
+STEPS = 900  # mini-batches of the training, however large the sample
 BATCH = 32
 RATE = 2.0
 SAMPLE = 4000  # labelled documents that fit the model, in expectation
@@ -89,9 +89,10 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: i
     bias = np.log(np.array([max(1 - share, 1e-3), max(share, 1e-3)], np.float32))
     target = np.eye(2, dtype=np.float32)[labels]
     full = [k for k, (ids, _) in enumerate(bags) if len(ids)]
-    steps = max(1, EPOCHS * -(-len(full) // BATCH))
+    epochs = -(-STEPS // max(1, -(-len(full) // BATCH)))
+    steps = max(1, epochs * -(-len(full) // BATCH))
     step = 0
-    for _ in range(EPOCHS if 0 < share < 1 else 0):
+    for _ in range(epochs if 0 < share < 1 and full else 0):
         order = rng.permutation(full)
         for at in range(0, len(order), BATCH):
             chosen = order[at : at + BATCH]
