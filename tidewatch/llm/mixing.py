@@ -31,8 +31,8 @@ def word_count(text: str = "text") -> Column:
 
 def lexical_weight() -> Column:
     """Quality weight from the mean word length: 1 for usual words, 0.25 for odd ones."""
-    mean = F.length("text") / F.col("size")
-    return F.when((F.col("size") > 0) & mean.between(3, 12), F.lit(1.0)).otherwise(F.lit(0.25))
+    mean = F.try_divide(F.length("text"), F.col("size"))
+    return F.when(mean.between(3, 12), F.lit(1.0)).otherwise(F.lit(0.25))
 
 
 def source_targets(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -66,7 +66,7 @@ def source_targets(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFram
         "source",
         "source_size",
         F.when(F.col("first").isNull() | (F.col("k") < F.col("first")), F.col("cap").cast("double"))
-        .otherwise(F.col("r") * F.col("w") / F.col("ws"))
+        .otherwise(F.try_divide(F.col("r") * F.col("w"), F.col("ws")))
         .alias("target"),
     )
 
@@ -94,7 +94,7 @@ def mix(
             sources.select(F.col("source").alias("s"), "docs"), F.col("source").eqNullSafe(F.col("s"))
         ).select(
             "source", "source_size", "target",
-            F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).alias("epochs"),
+            F.when(F.col("source_size") > 0, F.floor(F.try_divide(F.col("target"), F.col("source_size")))).otherwise(0).alias("epochs"),
             F.ceil(F.sqrt("docs")).alias("slices"),
         ).withColumn("budget", F.floor(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long")),
         "mixtargets",
