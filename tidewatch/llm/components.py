@@ -30,11 +30,9 @@ def components(links: DataFrame) -> DataFrame:
         parents, moved = current.groupBy("a").agg(F.min("b").alias("p")), True
         parents = kept(parents, "parents")
         while moved:
-            up = parents.select(F.col("a").alias("p"), F.col("p").alias("pp"))
-            jumped = kept(
-                parents.join(up, "p", "left").select("a", F.coalesce("pp", "p").alias("p"), F.col("pp").isNotNull().alias("m")),
-                "jumped",
-            )
+            up = lambda p: parents.select(F.col("a").alias(p), F.col("p").alias(f"{p}p"))
+            two = parents.join(up("p"), "p", "left").join(up("pp"), "pp", "left")  # two steps up at once
+            jumped = kept(two.select("a", F.coalesce("ppp", "pp", "p").alias("p"), F.col("ppp").isNotNull().alias("m")), "jumped")
             moved = not jumped.where("m").isEmpty()
             parents = jumped.select("a", "p")
         levels.append(parents)

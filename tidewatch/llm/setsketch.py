@@ -30,10 +30,10 @@ from tidewatch.llm.components import components
 
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 REGISTERS, PER_BAND = 128, 4
-HUBS, ROUNDS = 3, 3
+HUBS, ROUNDS = 3, 2
 PER_ROW = 8  # estimates per row of a bucket that a last comparison may take
 BLOCK = 1024
-SLACK = 0.17  # estimates this much below the threshold are misses (over 4.5 standard deviations)
+SLACK = 0.15  # estimates this much below the threshold are misses (over 4 standard deviations)
 CACHED_WORDS = 300_000
 CACHED_TEXTS = 2_000
 GRID = np.linspace(0.0, 1.0, 101)
@@ -159,8 +159,10 @@ def estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
             if batch.num_rows:
                 x, y = registers(batch.column(2)), registers(batch.column(3))
                 m, n = (batch.column(c).to_numpy().astype(float) for c in (4, 5))
-                good = likeliest((x > y).sum(axis=1), (x < y).sum(axis=1), m, n) >= threshold - SLACK
-                yield batch.select(["a", "b"]).filter(pa.array(good))
+                near = np.flatnonzero((x == y).sum(axis=1) >= (threshold - SLACK) * REGISTERS)
+                x, y = x[near], y[near]
+                good = near[likeliest((x > y).sum(axis=1), (x < y).sum(axis=1), m[near], n[near]) >= threshold - SLACK]
+                yield batch.select(["a", "b"]).take(pa.array(good))
 
     return joined.select("a", "b", "sa", "sb", "na", "nb").mapInArrow(keep, "a long, b long")
 
@@ -237,7 +239,7 @@ def across(unsettled: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: f
         items = [np.frombuffer(s, np.uint64) for s in group["items"]]
         roots, part = np.unique(group["root"].to_numpy(), return_inverse=True)
         out = []
-        for r in left:
+        for r in left if len(roots) > 1 else ():
             cols = right[right > r] if i == j else right
             cols = cols[part[cols] != part[r]]
             cols = cols[np.minimum(n[r], n[cols]) * 100 >= percent * np.maximum(n[r], n[cols])]
@@ -247,7 +249,8 @@ def across(unsettled: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: f
                 cols = cols[~(x[cols, :band] == x[r, :band]).all(axis=2).any(axis=1)]
             a, b = x[r].ravel(), x[cols].reshape(len(cols), REGISTERS)
             same = (a == b).sum(axis=1)
-            cols, b = cols[same >= REGISTERS // 4], b[same >= REGISTERS // 4]  # far below any likely pair
+            near = same >= (threshold - SLACK) * REGISTERS  # equal registers alone rule out most pairs
+            cols, b = cols[near], b[near]
             if not len(cols):
                 continue
             est = likeliest((a > b).sum(axis=1), (a < b).sum(axis=1), np.full(len(cols), n[r]), n[cols])

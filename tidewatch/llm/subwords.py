@@ -21,7 +21,7 @@ CONTROL = bytes([0, 0x1C, 0x1D, 0x1E, 0x1F, 0x85])
 WORDS = re.compile(rf"[{LETTERS}]+|[^\s{LETTERS}]\S*")
 WORDS_WITH_SPACE = re.compile(rf" ?[{LETTERS}]+| ?[^\s{LETTERS}]\S*|\s+(?!\S)|\s+")
 ODD_SPACE = re.compile(r"\s\s|[^\S \n]|^\s|\s$")
-CACHED_PIECES = 900_000
+CACHED_PIECES = 1_300_000
 
 
 def plain(text: str) -> bool:
