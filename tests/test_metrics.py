@@ -93,3 +93,14 @@ def test_negatives_only_and_no_rows(spark):
     empty = metrics.binary_metrics(frame(spark, [0], [0.1]).where("y = 1"), "p", "y").first()
     assert empty["n_samples"] is None
     assert metrics.roc_curve(frame(spark, [0, 0], [0.2, 0.9]), "p", "y").count() == 3
+
+
+def test_nan_scores_are_left_out(spark):
+    assert all_metrics(spark, [1, 0, 0, 1], [0.9, 0.1, float("nan"), float("nan")]) == all_metrics(spark, [1, 0], [0.9, 0.1])
+
+
+def test_one_fold_is_refused(spark):
+    from tidewatch.operators.sampling import stratified_folds
+
+    with pytest.raises(ValueError):
+        stratified_folds(frame(spark, [1, 0], [0.9, 0.1]), "p", "y", folds=1)

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import clip_probability, safe_ratio
+from tidewatch.functions.columns import clip_probability, drop_nan, safe_ratio
 from tidewatch.operators.ordering import running_totals
 
 METRICS = (
@@ -30,8 +30,8 @@ NAN = float("nan")
 
 
 def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
-    """Positives and negatives per distinct clipped score. Rows without a label are left out."""
-    labeled = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    """Positives and negatives per distinct clipped score. Rows without a label or with a NaN score are left out."""
+    labeled = df.where(F.col(label).isNotNull() & drop_nan(score).isNotNull())
     return (
         labeled.select(*by, clip_probability(score).alias("p"), F.col(label).cast("int").alias("y"))
         .groupBy(*by, "p")
@@ -78,7 +78,7 @@ def confusion_counts(
     df: DataFrame, score: str, label: str, threshold: float, by: Sequence[str] = ()
 ) -> DataFrame:
     """tp, fp, fn, tn at a threshold: one conditional-sum pass, no shuffle on the score."""
-    labeled = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).select(
+    labeled = df.where(F.col(label).isNotNull() & drop_nan(score).isNotNull()).select(
         *by,
         clip_probability(score).alias("p"),
         F.col(label).cast("long").alias("pos"),

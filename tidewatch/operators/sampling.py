@@ -45,6 +45,8 @@ def stratified_folds(
     Folds are consecutive ranges of a random order, the first ``size % folds`` of them one
     row longer, so only the folds - 1 boundaries have to be found.
     """
+    if folds < 2:
+        raise ValueError("folds must be at least 2")
 
     def first_rows(size: Column) -> Column:
         base, extra = F.floor(size / folds), size % folds

@@ -33,4 +33,6 @@ def work_dir(spark: SparkSession, prefix: str) -> str:
         import uuid
 
         return f"{shared.rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return tempfile.mkdtemp(prefix=f"{prefix}-")
