@@ -4,8 +4,8 @@ A text is the set of its word shingles. Register i keeps the smallest value of a
 draw per shingle, stored as a truncated logarithm with base b; registers of unions are
 register-wise maxima, so sketches merge, and equal registers become likelier with the Jaccard
 similarity. Texts with equal sets are one node. Bands of registers are hashed to buckets.
-In every bucket all nodes are paired with a few hubs (the nodes with the least digests); the
-joint likelihood of the registers of a pair and of the two known set sizes gives an estimate
+A bucket's hubs are its nodes with the least digests, and every node is paired with a few of
+the hubs of its buckets; the joint likelihood of the registers of a pair and of the two known set sizes gives an estimate
 that discards clear misses, and the rest is decided on the full sets. Links make components;
 a bucket that still spans several components is taken again with other hubs, and what
 remains after some rounds is compared across components in blocks. So a large group of
@@ -287,14 +287,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> D
         if last:
             new = kept(across(unsettled, nodes, sets, threshold), "links")
         else:
-            digest = [F.xxhash64("node", F.lit(turn * HUBS + h)) for h in range(HUBS)]
-            hubs = unsettled.groupBy("bucket").agg(*[F.min_by(F.struct("node", "root"), d).alias(f"h{h}") for h, d in enumerate(digest)])
-            paired = unsettled.join(hubs, "bucket").select(
-                "node", "root", F.explode(F.array_distinct(F.array(*[f"h{h}" for h in range(HUBS)]))).alias("h")
+            drawn = [F.struct(F.xxhash64("node", F.lit(turn * HUBS + h)).alias("d"), "node", "root") for h in range(HUBS)]
+            hubs = unsettled.groupBy("bucket").agg(*[F.min(d).alias(f"h{h}") for h, d in enumerate(drawn)])
+            # Of the hubs of its buckets a node meets at most HUBS, those with the least digests.
+            met = unsettled.join(hubs, "bucket").groupBy("node").agg(
+                *[F.min(F.when(F.col(f"h{h}.root") != F.col("root"), F.col(f"h{h}"))).alias(f"h{h}") for h in range(HUBS)]
             )
             pairs = (
-                paired.where("h.root <> root")
-                .select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b"))
+                met.select("node", F.explode(F.array(*[f"h{h}.node" for h in range(HUBS)])).alias("hub"))
+                .where("hub IS NOT NULL")
+                .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
                 .distinct()
             )
             likely = kept(estimated(pairs, nodes, threshold), "likely")
