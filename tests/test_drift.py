@@ -96,10 +96,10 @@ def roles():
 
 def test_no_alarm_on_a_fresh_sample_and_market_shift_is_found(spark):
     reference = generate_customers(spark, 4000, 1).persist()
-    calm = drift.drift_report(reference, generate_customers(spark, 1000, 2), *roles(), slices=1).collect()
+    calm = drift.drift_report(reference, generate_customers(spark, 1000, 2), *roles()).collect()
     assert len(calm) == 11 and not any(r["drift_detected"] for r in calm)
     moved = generate_customers(spark, 1000, 3, DriftProfile.of_strength(0.8))
-    report = drift.drift_report(reference, moved, *roles(), slices=1).persist()
+    report = drift.drift_report(reference, moved, *roles()).persist()
     summary = drift.dataset_drift(report).first()
     assert {"monthly_charges", "num_support_tickets"} <= set(summary["drifted_features"])
     assert "senior_citizen" not in summary["drifted_features"]
@@ -108,6 +108,6 @@ def test_no_alarm_on_a_fresh_sample_and_market_shift_is_found(spark):
 
 def test_score_drift_is_reported_apart_from_the_inputs(spark):
     ref, cur = column(spark, rng.beta(2, 5, 1000)), column(spark, rng.beta(5, 2, 500))
-    report = drift.drift_report(ref, ref, ["x"], reference_scores=ref, current_scores=cur, score="x", slices=1)
+    report = drift.drift_report(ref, ref, ["x"], reference_scores=ref, current_scores=cur, score="x")
     row = drift.dataset_drift(report).first()
     assert row["n_features"] == 1 and row["n_drifted"] == 0 and row["prediction_psi"] > 0.2

@@ -31,7 +31,8 @@ class PromotionPolicy:
 
 @dataclass(frozen=True)
 class MonitorPolicy:
-    window: int = 1000
+    days: float | None = 7.0  # length of the window; None reads the whole log
+    window: int | None = None  # newest rows of it; all unless set
     min_window: int = 200
     min_labeled: int = 100
     minimums: Mapping[str, float] = field(default_factory=lambda: {"roc_auc": 0.75})
@@ -42,7 +43,7 @@ class MonitorPolicy:
 class RetrainPolicy:
     enabled: bool = True
     min_labeled: int = 500
-    max_fresh: int = 1000
+    max_fresh: int = 1000  # newest labeled rows that a classifier is fitted and compared on
     holdout: float = 0.25
     min_training: int = 500
     cooldown_minutes: float = 30.0

@@ -371,9 +371,6 @@ def drift_report(
 ) -> DataFrame:
     """One row per monitored column, and one for the model score when both are given.
 
-    ``slices=1`` suits two sides of a known small size, such as a bounded window against a
-    bounded baseline; see ``ordering.running_totals``.
-
     ``drift_detected`` is decided by PSI alone; a PSI that is not finite never alerts.
     """
     parts = []

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.contract import CHURN
-from tidewatch.operators.ordering import slices_for
 from tidewatch.operators.quantiles import exact_quantiles
 from tidewatch.operators.validation import coerce_types
 
@@ -71,8 +70,7 @@ class EngineeredFeatures(Estimator, DefaultParamsReadable, DefaultParamsWritable
     """Learns the median monthly charge and adds the engineered columns."""
 
     def _fit(self, dataset: DataFrame) -> EngineeredFeaturesModel:
-        slices = slices_for(dataset.count())
-        row = exact_quantiles(dataset, ["monthly_charges"], [0.5], slices).first()
+        row = exact_quantiles(dataset, ["monthly_charges"], [0.5]).first()
         price = row["quantiles"][0] if row else 0.0
         return EngineeredFeaturesModel(fitted=json.dumps({"market_price": price}))
 
@@ -108,7 +106,7 @@ class PreparedColumns(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """
 
     def _fit(self, dataset: DataFrame) -> PreparedColumnsModel:
-        found = exact_quantiles(dataset, NUMERIC, [0.5], slices_for(dataset.count())).collect()
+        found = exact_quantiles(dataset, NUMERIC, [0.5]).collect()
         medians = {r["feature"]: r["quantiles"][0] for r in found}
         modes = {r["feature"]: r["value"] for r in most_frequent(dataset, BINARY + CATEGORICAL).collect()}
         filled = [F.coalesce(F.col(c), F.lit(medians.get(c, 0.0))) for c in NUMERIC]

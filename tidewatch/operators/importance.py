@@ -49,12 +49,13 @@ def permutation_importance(
     features: Sequence[str],
     probability: str = "probability_1",
     repeats: int = 5,
-    max_rows: int | None = 1000,
+    max_rows: int | None = None,
     seed: int | str = 42,
 ) -> DataFrame:
     """(feature, importance_mean, importance_std): drop of the ROC-AUC, largest first.
 
     ``score`` adds the probability column; it is applied once to all copies together.
+    All rows take part unless ``max_rows`` asks for a sample.
     """
     sample = exact_sample(rows, key, max_rows, seed) if max_rows else rows
     base = roc_auc(score(sample), probability, label).scalar()

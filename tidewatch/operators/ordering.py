@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from tidewatch.functions.columns import uniform
 
 HASH_SLICES = 1 << 16
-SMALL_ROWS = 200_000  # counted inputs up to this size take the plain window
 
 
 def default_slices(df: DataFrame) -> int:
@@ -27,11 +26,6 @@ def default_slices(df: DataFrame) -> int:
     return 1 << min(14, max(7, ceil(log2(4 * partitions))))
 
 
-def slices_for(n_rows: int) -> int | None:
-    """``slices`` argument for an input whose rows have been counted."""
-    return 1 if n_rows <= SMALL_ROWS else None
-
-
 def with_slices(df: DataFrame, order: str, totals: Sequence[str], slices: int) -> DataFrame:
     """Add ``_slice``: which of ``slices`` equally filled ranges of ``order`` a row is in.
 
@@ -101,16 +95,9 @@ def running_totals(
     """Add ``<t>_before`` (sum over smaller ``order`` values) and ``<t>_all`` per group.
 
     ``df`` must hold one row per (by, order) pair, i.e. be aggregated to distinct values
-    first, which also removes any skew in how often a value occurs. ``slices=1`` is the
-    plain window for inputs that are known to be small (:data:`SMALL_ROWS`).
+    first, which also removes any skew in how often a value occurs. The plan is the same
+    for every size.
     """
-    if slices == 1:
-        inside = W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-        return df.select(
-            "*",
-            *[F.coalesce(F.sum(t).over(inside), F.lit(0)).alias(f"{t}_before") for t in totals],
-            *[F.sum(t).over(W.partitionBy(*by)).alias(f"{t}_all") for t in totals],
-        )
     sliced = with_slices(df, order, totals, slices or default_slices(df))
     return sum_by_slices(sliced, [order], totals, by)
 

@@ -17,11 +17,12 @@ FEEDBACK_SCHEMA = "prediction_id string, actual int, feedback_at timestamp"
 def conflicting_ids(batch: DataFrame, log: DataFrame) -> DataFrame:
     """Ids that make a batch unloadable: repeated in it, or already in the log.
 
-    (prediction_id, n_in_batch, already_logged). Both sides are reduced to one row per id
-    before they meet, so a hot id cannot blow up the join.
+    (prediction_id, n_in_batch, already_logged). The log is first cut to the ids of the batch,
+    so its rows are neither sorted nor made distinct as a whole.
     """
     incoming = batch.groupBy("prediction_id").agg(F.count(F.lit(1)).alias("n_in_batch"))
-    known = log.select("prediction_id").distinct().withColumn("already_logged", F.lit(True))
+    hits = log.select("prediction_id").join(incoming.select("prediction_id"), "prediction_id", "left_semi")
+    known = hits.distinct().withColumn("already_logged", F.lit(True))
     return (
         incoming.join(known, "prediction_id", "left")
         .withColumn("already_logged", F.coalesce("already_logged", F.lit(False)))

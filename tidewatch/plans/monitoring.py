@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,23 +13,27 @@ from tidewatch.contract import CHURN
 from tidewatch.operators import cycles, decisions, drift, predictionlog
 from tidewatch.operators.decisions import MonitorPolicy, RetrainPolicy
 from tidewatch.operators.drift import DriftPolicy
-from tidewatch.operators.ordering import slices_for
 from tidewatch.plans import lifecycle
 from tidewatch.plans.retraining import RetrainOutcome, run_retraining
 from tidewatch.plans.training import TrainingPolicy
 from tidewatch.sources.tables import CYCLE_SCHEMA, Workspace
 
 
-def recent_window(spark: SparkSession, ws: Workspace, model: str, n: int) -> DataFrame:
-    """The newest ``n`` predictions with their labels, features as columns.
+def recent_window(
+    spark: SparkSession, ws: Workspace, model: str, at: datetime, policy: MonitorPolicy = MonitorPolicy()
+) -> DataFrame:
+    """The predictions of the policy's window with their labels, features as columns.
 
-    The window is cut first; only feedback for its ids (at most ``n``, set by the policy,
-    hence the broadcast) is aggregated.
+    The window starts ``days`` before ``at``; only its day partitions are read. It holds all
+    rows since then, or the newest ``window`` of them where that is set. Only feedback for its ids is aggregated.
     """
     log = ws.predictions(spark).where(F.col("model_name") == model)
-    window = predictionlog.most_recent(log, n)
+    if policy.days is not None:
+        since = at - timedelta(days=policy.days)
+        log = log.where((F.col("created_date") >= F.lit(since.date())) & (F.col("created_at") > F.lit(since)))
+    window = predictionlog.most_recent(log, policy.window) if policy.window else log
     ids = window.select("prediction_id")
-    feedback = ws.feedback(spark).join(F.broadcast(ids), "prediction_id", "left_semi")
+    feedback = ws.feedback(spark).join(ids, "prediction_id", "left_semi")
     return predictionlog.decode_features(predictionlog.attach_feedback(window, feedback))
 
 
@@ -64,7 +68,7 @@ def run_cycle(
     }
     features: list[dict[str, Any]] = []
     if facts["run_id"]:
-        window = recent_window(spark, ws, model, policy.window).persist()
+        window = recent_window(spark, ws, model, at, policy).persist()
         try:
             facts["window_size"] = window.count()
             if facts["window_size"] >= policy.min_window:
@@ -79,14 +83,13 @@ def run_cycle(
                     drift_policy,
                     evaluation,
                     window,
-                    slices=slices_for(max(facts["window_size"], reference.count(), evaluation.count())),
                 ).persist()
                 features = _report_rows(report)
                 summary = drift.dataset_drift(report, drift_policy).first()
                 report.unpersist()
                 reference.unpersist()
                 live = decisions.live_performance(
-                    window, facts["model_version"], policy, slices=slices_for(facts["window_size"])
+                    window, facts["model_version"], policy
                 ).first()
                 measured = live.asDict()
                 n_labeled, below = measured.pop("n_labeled"), measured.pop("below")

@@ -239,9 +239,9 @@ DIGEST_COLUMNS = ["customer_id", *CHURN.features, "churned"]
 
 @query(
     "dataset_digest",
-    f"""{CLEAN}, t AS (SELECT md5(concat_ws('|', {', '.join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in DIGEST_COLUMNS)})) AS h
+    f"""{CLEAN}, t AS (SELECT md5(concat({', '.join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '~')" for c in DIGEST_COLUMNS)})) AS h
 FROM customer_features)
-SELECT count(*) AS n_rows, CAST(sum(CAST(('0x' || substr(h, 1, 8)) AS BIGINT)) AS VARCHAR) AS digest FROM t""",
+SELECT count(*) AS n_rows, concat_ws('-', CAST(sum(CAST(('0x' || substr(h, 1, 16)) AS UBIGINT)) AS VARCHAR), CAST(sum(CAST(('0x' || substr(h, 17, 16)) AS UBIGINT)) AS VARCHAR)) AS digest FROM t""",
 )
 def customer_digest(spark: SparkSession, sf: str) -> DataFrame:
     customers = frame(spark, sf, "customer_features").select(*DIGEST_COLUMNS)
@@ -390,7 +390,7 @@ def _importance_oracle() -> str:
         source="ps",
         group="GROUP BY feature, rep",
     )
-    return f"""{CLEAN}, s AS (SELECT * FROM customer_features ORDER BY {u('42', 'customer_id')}, customer_id LIMIT 1000),
+    return f"""{CLEAN}, s AS (SELECT * FROM customer_features),
 copies AS (SELECT * FROM (SELECT unnest([{names}]) AS feature), (SELECT unnest(range(0, 5)) AS rep)),
 t AS (SELECT *, row_number() OVER (ORDER BY {u('42-take', 'customer_id')}, customer_id) AS r FROM s),
 g AS (SELECT *, row_number() OVER (PARTITION BY feature, rep ORDER BY {draw}, customer_id) AS r FROM s, copies),
