@@ -131,6 +131,32 @@ def test_vectors(spark):
     assert cells.near_duplicates(empty).count() == 0 and kdtree.top_k(empty, F.lit(True)).count() == 0
 
 
+def linked_by_brute_force(x, threshold=0.95):
+    """Links and smallest reachable number of every row."""
+    x = np.float32(x).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    linked = x @ x.T >= threshold
+    np.fill_diagonal(linked, False)
+    least = np.arange(len(x))
+    while True:
+        new = np.minimum(least, np.where(linked, least[None, :], len(x)).min(axis=1))
+        if (new == least).all():
+            return linked.sum(axis=1), least
+        least = new
+
+
+@pytest.mark.parametrize("rank", [3, 6])
+def test_links_across_cell_borders(spark, monkeypatch, rank):
+    monkeypatch.setattr(cells, "CELL_ROWS", 150)
+    rng = np.random.default_rng(rank)
+    x = rng.normal(size=(1800, rank)) @ rng.normal(size=(rank, 64)) + 0.01 * rng.normal(size=(1800, 64))
+    n_links, least = linked_by_brute_force(x)
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    got = cells.near_duplicates(table).toPandas().sort_values("vec_id")
+    assert int(n_links.sum()) - int(got.n_links.sum()) == 0
+    assert (got.n_links.to_numpy() == n_links).all() and (got.component_id.to_numpy() == least).all()
+
+
 def test_huge_components_are_exact():
     x = np.array([[2.0**60, 1.0], [2.0**60, 2.0], [1.0, 1.0]])
     tree, best = kdtree.Tree(np.array([1, 2, 3]), x), []
