@@ -281,6 +281,16 @@ def test_setsketch(spark, docs, nothing):
     assert setsketch.near_duplicates(nothing).count() == 0
 
 
+def test_every_pair_at_the_threshold_is_linked(spark):
+    # 4 of 5 shingles are common; the sketches of the first four pairs agree in 83 of 128 registers only.
+    rows = []
+    for k in [7342, 39377, 101044, 113523, *range(300)]:
+        words = [f"{c}{k}" for c in "abcdefghi"]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:8]))]
+    got = setsketch.near_duplicates(as_docs(spark, rows)).collect()
+    assert [r.doc_id for r in got if r.component_id != r.doc_id // 2 * 2] == [] and len(got) == len(rows)
+
+
 def test_setsketch_settles_chains(spark):
     words = [f"w{i}" for i in range(200)]
     rows = [(k, " ".join(words[2 * k : 2 * k + 60])) for k in range(40)]  # neighbours link, ends do not
