@@ -319,6 +319,16 @@ def test_mixing(docs, nothing):
     assert mixing.mix(nothing).count() == 0
 
 
+@pytest.mark.parametrize("weight", [[1.0], [0.25], [0.01], [1.0, 0.25], [0.01, 50.0]])
+def test_slices_are_even_at_every_weight(spark, weight):
+    n, slices = 40_000, 200
+    u = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
+    rate = F.element_at(F.array(*map(F.lit, weight)), (F.col("id") % len(weight) + 1).cast("int"))
+    keys = spark.range(n).select((-F.log(1 - u) / rate).alias("key")).select("key", mixing.slice_of(F.col("key"), F.lit(slices)).alias("slice"))
+    per = keys.groupBy("slice").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("a"), F.max("key").alias("b")).orderBy("slice").collect()
+    assert max(r.n for r in per) < 1.4 * n / slices and all(r.b < s.a for r, s in zip(per, per[1:]))
+
+
 def test_pipeline(spark, tmp_path):
     rows = labelled(spark)
     good = [(i, t) for i, t, y in rows if y]

@@ -71,6 +71,16 @@ def source_targets(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFram
     )
 
 
+def slice_of(key: Column, slices: Column) -> Column:
+    """Number of the slice of a key: a rising function of it.
+
+    Slices have equal widths of log2(key). An exponential key of any rate, and so a mixture of
+    any weights, falls into one of them with a chance of at most 1.02 / slices (4 ln 2 / e), since
+    weights only shift the logarithm.
+    """
+    return F.floor(F.log2(F.greatest(key, F.lit(1e-300))) * slices / 4)
+
+
 def mix(
     docs: DataFrame,
     weight: Column | None = None,
@@ -100,8 +110,7 @@ def mix(
         "mixtargets",
     ).withColumnRenamed("source", "s")
     placed = drawn.join(targets, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn(
-        # A rising function of the key with values below 1 and about evenly spread.
-        "slice", F.floor((1 - F.exp(-F.col("key"))) * F.col("slices"))
+        "slice", slice_of(F.col("key"), F.col("slices"))
     )
     totals = placed.groupBy("source", "slice").agg(F.sum("size").alias("n"))
     upto = W.partitionBy("source").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
