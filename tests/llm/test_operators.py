@@ -157,6 +157,20 @@ def test_links_across_cell_borders(spark, monkeypatch, rank):
     assert (got.n_links.to_numpy() == n_links).all() and (got.component_id.to_numpy() == least).all()
 
 
+def test_tight_groups_are_not_dealt_against_themselves(spark, monkeypatch):
+    rim, cores, crowds = np.array([1, 0]), np.array([10, 10]), np.array([0, 0])
+    assert len(cells.units_of(0, True, [], 7, rim, cores, crowds)) == 1 and cells.units_of(1, True, [], 7, rim, cores, crowds) == []
+    monkeypatch.setattr(cells, "CELL_ROWS", 200)
+    monkeypatch.setattr(cells, "MEMBERS", 32)
+    rng = np.random.default_rng(9)
+    x = np.r_[rng.normal(size=(1, 24)) + 0.03 * rng.normal(size=(500, 24)), rng.normal(size=(300, 24))]
+    x = np.r_[x, x[:1] + 0.3 * rng.normal(size=(400, 24))]  # around the rim of the tight group
+    n_links, least = linked_by_brute_force(x)
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    got = cells.near_duplicates(table).toPandas().sort_values("vec_id")
+    assert (got.n_links.to_numpy() == n_links).all() and (got.component_id.to_numpy() == least).all()
+
+
 def test_huge_components_are_exact():
     x = np.array([[2.0**60, 1.0], [2.0**60, 2.0], [1.0, 1.0]])
     tree, best = kdtree.Tree(np.array([1, 2, 3]), x), []

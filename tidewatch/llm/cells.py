@@ -6,8 +6,9 @@ within half the link distance. The distances of two linked nodes to the border b
 cells add up to no more than the link distance, so one of them visits the other's cell and
 every link is found. Members of a cell meet each other and its
 visitors in blocks, as matrix products in double precision. Members within half the link
-angle of their centroid are linked with each other by the triangle inequality and are not
-compared. Blocks give sums of weights and the smallest node that is reached, never lists of
+angle of their centroid, its core, are linked with each other by the triangle inequality and
+are not compared: blocks of the core meet only blocks of other members and of visitors, so a
+tight group is not dealt against itself. Blocks give sums of weights and the smallest node that is reached, never lists of
 pairs, so a dense cell costs products but no rows.
 
 Vectors that are null, zero, or hold null or non-finite components, and rows without id,
@@ -63,6 +64,28 @@ def fit_centroids(x: np.ndarray, cells: int, seed: int = 11) -> np.ndarray:
     return centres
 
 
+def units_of(home: int, core: bool, visits: list[int], mixed: int, rim: np.ndarray, cores: np.ndarray, crowds: np.ndarray):
+    """(cell, i, j, left, right) of the pairs of blocks that a node is part of.
+
+    The member blocks of a cell are its ``rim`` blocks and then its ``cores`` blocks; a pair
+    has i <= j <= rim blocks, or i of the rim and j of the core, or i of any member and
+    -1 - j of its ``crowds`` blocks of visitors.
+    """
+    edge = rim[home]
+    if core:
+        own = edge + mixed % cores[home]
+        units = [(home, j, own, False, True) for j in range(edge)]
+    else:
+        own = mixed % edge
+        units = [(home, min(own, j), max(own, j), own <= j, own >= j) for j in range(edge)]
+        units += [(home, own, edge + j, True, False) for j in range(cores[home])]
+    units += [(home, own, -1 - g, True, False) for g in range(crowds[home])]
+    for c in visits:
+        if crowds[c]:
+            units += [(c, i, -1 - mixed % crowds[c], False, True) for i in range(rim[c] + cores[c])]
+    return units
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of (vec_id, embedding)."""
     nonzero = F.exists("embedding", lambda x: x != 0)
@@ -129,25 +152,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
         ),
         "placed",
     )
-    # One row per cell.
-    members = {r[0]: r[1] for r in placed.groupBy("home").count().collect()}
+    # One row per cell, or two.
+    members = {(r[0], r[1]): r[2] for r in placed.groupBy("home", "core").count().collect()}
     guests = {r[0]: r[1] for r in placed.select(F.explode("visits").alias("c")).groupBy("c").count().collect()}
-    blocks = np.array([-(-members.get(c, 0) // MEMBERS) for c in range(cells)])
+    rim, cores = (np.array([-(-members.get((c, of), 0) // MEMBERS) for c in range(cells)]) for of in (False, True))
     crowds = np.array([-(-guests.get(c, 0) // VISITORS) for c in range(cells)])
 
     def deal(batches):
-        """Copies of a row for every pair of blocks it is part of: i <= j of members, i of members with guests."""
+        """Copies of a row for every pair of blocks it is part of."""
         for batch in batches:
             out = defaultdict(list)
-            for r, (node, home, visits) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("node", "home", "visits")))):
+            for r, (node, home, core, visits) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("node", "home", "core", "visits")))):
                 mixed = (node * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 33
-                own = mixed % blocks[home]
-                units = [(home, min(own, j), max(own, j), own <= j, own >= j) for j in range(blocks[home])]
-                units += [(home, own, -1 - g, True, False) for g in range(crowds[home])]
-                for c in visits:
-                    if crowds[c]:
-                        units += [(c, i, -1 - mixed % crowds[c], False, True) for i in range(blocks[c])]
-                for c, i, j, left, right in units:
+                for c, i, j, left, right in units_of(home, core, visits, mixed, rim, cores, crowds):
                     for name, value in zip(("cell", "i", "j", "left", "right", "row"), (c, i, j, left, right, r)):
                         out[name].append(value)
             if out:
@@ -167,7 +184,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
         linked = x @ y.T >= threshold
         a, b = left["node"].to_numpy(), right["node"].to_numpy()
         if j >= 0:
-            linked &= ~(left["core"].to_numpy()[:, None] & right["core"].to_numpy()[None, :])
             linked &= a[:, None] != b[None, :]
         else:
             # Found in the guest's cell too: count it in the cell with the smaller number.
@@ -192,8 +208,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
         .applyInPandas(compare, "node long, n long, root long"),
         "found",
     )
-    cores = placed.where("core").groupBy("home").agg(F.sum("w").alias("cw"), F.min("node").alias("cr"))
-    in_core = placed.where("core").join(cores, "home").select("node", (F.col("cw") - F.col("w")).alias("n"), F.col("cr").alias("root"))
+    core_sums = placed.where("core").groupBy("home").agg(F.sum("w").alias("cw"), F.min("node").alias("cr"))
+    in_core = placed.where("core").join(core_sums, "home").select("node", (F.col("cw") - F.col("w")).alias("n"), F.col("cr").alias("root"))
     links = found.unionByName(in_core)
     counts = links.groupBy("node").agg(F.sum("n").alias("n"))
     roots = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
