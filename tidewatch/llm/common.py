@@ -29,6 +29,21 @@ def kept(df: DataFrame, prefix: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+HOT_GROUPS = 10_000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """Join every row with its group's row; ``size`` counts the rows of a group, ``total`` all rows.
+
+    Groups of more than total / HOT_GROUPS rows are fewer than HOT_GROUPS, so they can be
+    broadcast at any size of the table; in the join of the others no key is large.
+    """
+    hot = F.col(size) > total // HOT_GROUPS + 1
+    large = F.broadcast(groups.where(hot))
+    few = rows.join(large.select(*keys), keys, "left_anti").join(groups.where(~hot), keys)
+    return rows.join(large, keys).unionByName(few)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit("")).alias("text")
 
