@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.functions.tails import chi_squared_survival  # noqa: F401
+
 _UNIFORM_DIGITS = 13  # 13 hex digits = 52 bits, exactly representable in a double
 _UNIFORM_RANGE = float(16**_UNIFORM_DIGITS)
 _NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
@@ -89,64 +89,6 @@ def psi_term(expected: Column, actual: Column) -> Column:
     return (actual - expected) * F.ln(actual / expected)
 
 
-def _error_function_complement(z: Column) -> Column:
-    """erfc(z) for z >= 0: all-positive series below 2.5, continued fraction above."""
-    zz = z * z
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(80)),
-        F.struct(z.alias("term"), z.alias("total")),
-        lambda acc, k: F.struct(
-            (acc["term"] * 2.0 * zz / (2.0 * k + 1.0)).alias("term"),
-            (acc["total"] + acc["term"] * 2.0 * zz / (2.0 * k + 1.0)).alias("total"),
-        ),
-        lambda acc: acc["total"],
-    )
-    small = 1.0 - series * F.exp(-zz) * 2.0 / F.sqrt(F.lit(3.141592653589793))
-    tail = F.aggregate(
-        F.sequence(F.lit(60), F.lit(1), F.lit(-1)),
-        z,
-        lambda acc, k: z + (k / 2.0) / acc,
-    )
-    large = F.exp(-zz) / F.sqrt(F.lit(3.141592653589793)) / tail
-    return F.when(z < 2.5, small).otherwise(large)
-
-
-def chi_squared_survival(statistic: Column, dof: Column) -> Column:
-    """P(X >= statistic) for a chi-squared variable, by the finite sums for even and odd dof.
-
-    Each term is formed from its logarithm, so a large statistic or a large number of
-    categories neither overflows nor needs a table.
-    """
-    half = statistic / 2.0
-    steps = F.floor(dof / 2.0).cast("int")
-    zero = F.lit(0.0)
-    even = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(steps, F.lit(1))),
-        F.struct((-half).alias("log_term"), zero.alias("total")),
-        lambda acc, j: F.struct(
-            (acc["log_term"] + F.ln(half) - F.ln(j.cast("double"))).alias("log_term"),
-            (acc["total"] + F.exp(acc["log_term"])).alias("total"),
-        ),
-        lambda acc: acc["total"],
-    )
-    first = -half + 0.5 * F.ln(half) - F.ln(F.lit(0.886226925452758))  # gamma(3/2)
-    odd_sum = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(steps, F.lit(1))),
-        F.struct(first.alias("log_term"), zero.alias("total")),
-        lambda acc, j: F.struct(
-            (acc["log_term"] + F.ln(half) - F.ln(j + 0.5)).alias("log_term"),
-            (acc["total"] + F.exp(acc["log_term"])).alias("total"),
-        ),
-        lambda acc: acc["total"],
-    )
-    odd = _error_function_complement(F.sqrt(half)) + F.when(steps >= 1, odd_sum).otherwise(0.0)
-    return (
-        F.when((statistic <= 0) | (dof < 1), F.lit(1.0))
-        .when(dof % 2 == 0, even)
-        .otherwise(odd)
-    )
-
-
 def kolmogorov_survival(lam: Column) -> Column:
     """Limiting two-sided Kolmogorov tail; 1 below 0.2, where the series loses all digits."""
     series = F.aggregate(
@@ -184,10 +126,6 @@ def decide_class(probability: Column, threshold: float) -> Column:
     return (probability >= F.lit(float(threshold))).cast("int")
 
 
-def columns_of(names: Sequence[str]) -> list[Column]:
-    return [F.col(n) for n in names]
-
-
 def number_of(df: DataFrame, name: str) -> Column:
     """A column of any scalar type as double: text is parsed, NaN becomes NULL."""
     kind = df.schema[name].dataType.typeName()

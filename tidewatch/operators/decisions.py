@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch.operators.metrics import binary_metrics
@@ -20,6 +19,7 @@ from tidewatch.operators.registry import (
     TAG_METRIC,
     TAG_REASON,
 )
+from tidewatch.operators.runs import run_lengths
 
 
 @dataclass(frozen=True)
@@ -256,16 +256,11 @@ def debounce(
     if allow:
         hit = hit & F.coalesce(F.col(allow), F.lit(False))
     counted = F.coalesce(F.col(evaluated), F.lit(False)) if evaluated else F.lit(True)
-    order = W.partitionBy(by).orderBy(ts)
-    marked = cycles.withColumn("_hit", counted & hit).withColumn("_break", counted & ~hit)
-    runs = marked.withColumn("_run", F.sum(F.col("_break").cast("int")).over(order))
-    within = W.partitionBy(by, "_run").orderBy(ts)
-    placed = runs.withColumn("_pos", F.sum(F.col("_hit").cast("int")).over(within))
-    return (
-        placed.withColumn("streak", F.when(F.col("_hit"), (F.col("_pos") - 1) % required + 1).otherwise(0))
-        .withColumn("fire", F.col("_hit") & (F.col("_pos") % required == 0))
-        .drop("_hit", "_break", "_run", "_pos")
-    )
+    marked = cycles.withColumn("_hit", counted & hit)
+    placed = run_lengths(marked, [by], ts, F.col("_hit"), counted & ~hit)
+    streak = F.when(F.col("_hit"), (F.col("run_length") - 1) % required + 1).otherwise(0)
+    fire = F.col("_hit") & (F.col("run_length") % required == 0)
+    return placed.withColumn("streak", streak).withColumn("fire", fire).drop("_hit", "run_length", "run_since")
 
 
 def retrain_guards(

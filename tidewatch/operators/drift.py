@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import (
     bucket_of,
-    chi_squared_survival,
     finite,
     kolmogorov_survival,
     linear_interior_probabilities,
@@ -23,6 +22,7 @@ from tidewatch.functions.columns import (
     psi_term,
     smoothed_share,
 )
+from tidewatch.functions.tails import chi_squared_survival, kolmogorov_exact
 from tidewatch.operators.ordering import running_totals
 from tidewatch.operators.quantiles import quantiles_of_ranked
 
@@ -139,14 +139,16 @@ def _ks_columns() -> list[Column]:
     both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
     distance = F.try_divide(F.col("gap"), n_ref * n_cur)
     size = F.try_divide(n_ref * n_cur, n_ref + n_cur)
+    # The exact law of small samples; the limit law where the larger one is beyond its range.
+    tail = F.coalesce(kolmogorov_exact(n_ref, n_cur, F.col("gap")), kolmogorov_survival(F.sqrt(size) * distance))
     return [
         F.when(both, distance).otherwise(0.0).alias("statistic"),
-        F.when(both, kolmogorov_survival(F.sqrt(size) * distance)).otherwise(1.0).alias("p_value"),
+        F.when(both, tail).otherwise(1.0).alias("p_value"),
     ]
 
 
 def ks_two_sample(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature, n_ref, n_cur, statistic, p_value); asymptotic p, (0, 1) if a side is empty."""
+    """(feature, n_ref, n_cur, statistic, p_value); (0, 1) if a side is empty."""
     ranked = _ranked(numeric_counts(reference, current, columns))
     return (
         ranked.groupBy("feature")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.contract import CHURN, Contract
+from tidewatch.operators.selection import newest
 
 LOG_SCHEMA = (
     "prediction_id string, created_at timestamp, model_name string, model_version string, "
@@ -65,10 +66,17 @@ def known_feedback(predictions: DataFrame, feedback: DataFrame) -> DataFrame:
 
 
 def most_recent(log: DataFrame, n: int, labeled_only: bool = False) -> DataFrame:
-    """The newest ``n`` rows, oldest first. Each task keeps its own top n before they merge."""
+    """The newest ``n`` rows, oldest first. They are found by counting, see :func:`newest`."""
     rows = log.where("actual IS NOT NULL") if labeled_only else log
-    newest = rows.orderBy(F.desc("created_at"), F.desc("prediction_id")).limit(n)
-    return newest.orderBy("created_at", "prediction_id")
+    day = "created_date" if "created_date" in log.columns else None
+    return newest(rows, n, day=day).orderBy("created_at", "prediction_id")
+
+
+def latest_labels(changes: DataFrame, others: list[str]) -> DataFrame:
+    """One row per prediction id of rows that repeat it: that of the last label, if it has any."""
+    rest = F.struct(*others, "actual", "feedback_at")
+    last = changes.groupBy("prediction_id").agg(F.max_by(rest, F.struct("feedback_at", "actual")).alias("r"))
+    return last.select("prediction_id", "r.*")
 
 
 def log_counts(log: DataFrame) -> DataFrame:

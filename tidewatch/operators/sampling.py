@@ -10,8 +10,16 @@ from tidewatch.operators.ordering import cutoffs_passed, hash_positions, running
 
 
 def exact_sample(df: DataFrame, key: str, n: int, seed: int | str) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows without replacement: a top-k on the row's draw."""
-    return df.orderBy(uniform(seed, key), F.col(key)).limit(n)
+    """Exactly ``min(n, rows)`` rows without replacement: those of the smallest draws.
+
+    The draw that ends the sample is found from counts, so taking the rows is a filter.
+    ``key`` names a row.
+    """
+
+    def first_row_left(_: Column) -> Column:
+        return F.array(F.lit(max(0, n) + 1))
+
+    return cutoffs_passed(df, "_past", [key], seed, first_row_left).where("_past = 0").drop("_past")
 
 
 def bernoulli_sample(df: DataFrame, key: str, rate: float, salt: str) -> DataFrame:

@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewatch.operators.runs import previous_values, run_lengths
+
 # Upper bucket bounds of the two histograms.
 LATENCY_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0)
 PROBABILITY_BOUNDS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
@@ -224,15 +225,53 @@ def alert_states(
         *by, "ts", "value", F.inline(matches)
     )
     keys = [*by, "alert"]
-    order = W.partitionBy(*keys).orderBy("ts")
-    runs = tested.withColumn("_run", F.sum((~F.col("breached")).cast("int")).over(order))
-    since = F.min(F.when(F.col("breached"), F.col("ts"))).over(W.partitionBy(*keys, "_run"))
-    held = F.timestamp_diff("SECOND", F.col("_since"), F.col("ts"))
+    runs = run_lengths(tested, keys, "ts", F.col("breached"), ~F.col("breached"))
+    held = F.timestamp_diff("SECOND", F.col("run_since"), F.col("ts").cast("timestamp"))
     state = (
         F.when(~F.col("breached"), "inactive").when(held >= F.col("hold"), "firing").otherwise("pending")
     )
-    return runs.withColumn("_since", since).select(
-        *keys, "severity", "ts", "value", state.alias("state")
+    return runs.select(*keys, "severity", "ts", "value", state.alias("state"))
+
+
+def counter_increase(
+    samples: DataFrame, ts: str, value: str, width: str, slide: str | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """(window_start, *by, increase): how much a counter grew in each trailing range.
+
+    A sample below the one before it is a counter that started again, and counts in full.
+    """
+    stepped = previous_values(samples, by, ts, value)
+    grown = F.when(F.col(value) >= F.col("previous"), F.col(value) - F.col("previous")).when(
+        F.col("previous").isNotNull(), F.col(value)
+    )
+    return (
+        stepped.withColumn("_grown", F.coalesce(grown, F.lit(0)).cast("double"))
+        .groupBy(_window(ts, width, slide).alias("w"), *by)
+        .agg(F.sum("_grown").alias("increase"))
+        .select(F.col("w.start").alias("window_start"), *by, "increase")
+    )
+
+
+def presence(
+    samples: DataFrame, ts: str, step: str, metric: str, by: Sequence[str] = (), until: Column | None = None
+) -> DataFrame:
+    """(*by, metric, ts, value): 1 for every step of time in which a key has samples, else 0.
+
+    Steps go from a key's first sample to the last of all keys, or to ``until``; their number
+    depends on the time covered alone.
+    """
+    length = F.expr(f"INTERVAL {step}")
+    held = samples.groupBy(F.window(ts, step).start.alias("at"), *by).agg(F.lit(1.0).alias("value"))
+    last = until if until is not None else held.agg(F.max("at")).scalar()
+    keyed = held.select(F.col("at"), F.struct(*by, F.lit(0).alias("_")).alias("_g"), "value")
+    steps = keyed.groupBy("_g").agg(F.min("at").alias("first")).select(
+        "_g", F.explode(F.sequence(F.col("first"), last, length)).alias("at")
+    )
+    return steps.join(keyed, ["_g", "at"], "left").select(
+        *[F.col(f"_g.{c}").alias(c) for c in by],
+        F.lit(metric).alias("metric"),
+        F.col("at").alias("ts"),
+        F.coalesce("value", F.lit(0.0)).alias("value"),
     )
 
 

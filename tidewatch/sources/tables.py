@@ -6,13 +6,16 @@ schema, so nothing is inferred and an absent table reads as an empty one.
 
 from __future__ import annotations
 
+import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.contract import CHURN, Contract
-from tidewatch.operators.predictionlog import FEEDBACK_SCHEMA, LOG_SCHEMA, conflicting_ids
+from tidewatch.operators.predictionlog import FEEDBACK_SCHEMA, LOG_SCHEMA, conflicting_ids, latest_labels
 from tidewatch.operators.registry import ALIAS_SCHEMA, TAG_SCHEMA, VERSION_SCHEMA
 from tidewatch.sources.synthetic import DriftProfile, generate_customers
 
@@ -21,7 +24,14 @@ from tidewatch.sources.synthetic import DriftProfile, generate_customers
 MISSING_WORDS = (
     "",
     "#N/A",
+    "#N/A N/A",
     "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
     "<NA>",
     "N/A",
     "NA",
@@ -44,6 +54,11 @@ BASELINE_SCHEMA = f"{CHURN.key} string, " + ", ".join(
     f"{f.name} {f.spark_type.simpleString()}" for f in CHURN.fields
 ) + f", {CHURN.target} int"
 EVALUATION_SCHEMA = f"churn_probability double, {CHURN.target} int"
+LOG_COLUMNS = [c.split()[0] for c in LOG_SCHEMA.split(", ")]
+LABELED_SCHEMA = f"{LOG_SCHEMA}, actual int, feedback_at timestamp"
+LEDGER_SCHEMA = (
+    "source string, batch_id long, n_received long, n_logged long, first_day date, last_day date, written_at timestamp"
+)
 RUN_SCHEMA = "run_id string, key string, value string, logged_at timestamp"
 
 
@@ -52,20 +67,64 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A headed CSV as text columns with missing words as NULL.
+def remove_folders(spark: SparkSession, pattern: str) -> None:
+    """Delete the folders that a glob pattern names."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(location) or ():
+        files.delete(found.getPath(), True)
+
+
+RAW = "_corrupt_record"
+
 
-    Types are applied by ``coerce_types`` after validation, so a bad cell is reported
-    instead of being lost in the reader.
+class SurplusCells(ValueError):
+    """A CSV file has rows with more cells than its header."""
+
+
+def scan_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A headed CSV as text columns, with ``raw`` and ``n_cells`` of rows that do not fit it.
+
+    ``raw`` is the line of a row with more or fewer cells than the header, and NULL for all
+    others; ``n_cells`` is their number. Missing words are NULL. Types are applied by
+    ``coerce_types`` after validation, so a bad cell is reported instead of being lost here.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(path)
-    raw = spark.read.option("header", True).option("nullValue", "").csv(path)
-    return raw.select(
-        *[F.when(~F.col(f"`{c}`").isin(*MISSING_WORDS), F.col(f"`{c}`")).alias(c) for c in raw.columns]
+    names = spark.read.option("header", True).option("nullValue", "").csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, RAW]])
+    read = spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+    read = read.option("escape", '"').option("columnPruning", False)  # a cut row has all of its cells counted
+    rows = read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW).csv(path)
+    commas = F.regexp_count(RAW, F.lit(r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))  # outside of quotes
+    return rows.select(
+        *[F.when(~F.col(f"`{c}`").isin(*MISSING_WORDS), F.col(f"`{c}`")).alias(c) for c in names],
+        # The reader refuses a query of its raw line alone, so a cell comes along, at no length.
+        F.concat(F.col(RAW), F.substring(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), 1, 0)).alias("raw"),
+        F.when(F.col(RAW).isNotNull(), commas + 1).alias("n_cells"),
     )
 
 
+def split_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) rows of a headed CSV: bad are those with more cells than the header.
+
+    Cells that a row lacks at its end are missing values, as everywhere else.
+    """
+    scanned = scan_csv(spark, path)
+    width = len(scanned.columns) - 2
+    surplus = F.coalesce(F.col("n_cells") > width, F.lit(False))
+    return scanned.where(~surplus).drop("raw", "n_cells"), scanned.where(surplus).select("raw", "n_cells")
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a headed CSV as text columns; a row with surplus cells is an error."""
+    good, bad = split_csv(spark, path)
+    found = bad.agg(F.count(F.lit(1)).alias("n"), F.min("raw").alias("first")).first()
+    if found["n"]:
+        raise SurplusCells(f"{found['n']} rows have more cells than the header, one is {found['first']!r}")
+    return good
+
+
 def load_source(
     spark: SparkSession,
     source: str = "synthetic",
@@ -113,20 +172,52 @@ class Workspace:
     def append(self, df: DataFrame, name: str) -> None:
         df.write.mode("append").parquet(self.path(name))
 
-    # Prediction log: partitioned by day, so that recent windows read few files.
+    # Day-partitioned tables: a batch is a folder within each day it has rows of, so recent
+    # windows read few files and a batch that is run again replaces what it wrote before.
+    def dated(self, spark: SparkSession, name: str, schema: str) -> DataFrame:
+        return self.read(spark, name, f"{schema}, created_date date, batch string")
+
+    def replace_batch(self, rows: DataFrame, name: str, batch: str) -> None:
+        """Write the rows of a batch by day, in place of those of an earlier attempt."""
+        if not re.fullmatch(r"[\w.-]+", batch):
+            raise ValueError(f"not a batch name: {batch!r}")
+        remove_folders(rows.sparkSession, self.path(name, "created_date=*", f"batch={batch}"))
+        dated = rows.withColumn("created_date", F.to_date("created_at")).withColumn("batch", F.lit(batch))
+        dated.write.mode("append").partitionBy("created_date", "batch").parquet(self.path(name))
+
     def predictions(self, spark: SparkSession) -> DataFrame:
-        return self.read(spark, "predictions", LOG_SCHEMA + ", created_date date")
+        return self.dated(spark, "predictions", LOG_SCHEMA).drop("batch")
 
     def append_predictions(self, batch: DataFrame) -> None:
         """Append a batch or nothing: any id repeated or known rejects all of it."""
         spark = batch.sparkSession
-        known = self.predictions(spark)
-        bad = conflicting_ids(batch, known).limit(5).collect()
-        if bad:
-            raise DuplicatePrediction(", ".join(r["prediction_id"] for r in bad))
-        names = [c.split()[0] for c in LOG_SCHEMA.split(", ")]
-        dated = batch.select(*names).withColumn("created_date", F.to_date("created_at"))
-        dated.write.mode("append").partitionBy("created_date").parquet(self.path("predictions"))
+        bad = conflicting_ids(batch, self.predictions(spark)).agg(
+            F.count(F.lit(1)).alias("n"), F.min("prediction_id").alias("first")
+        ).first()
+        if bad["n"]:
+            raise DuplicatePrediction(f"{bad['n']} ids are repeated or known, the first is {bad['first']}")
+        self.replace_batch(batch.select(*LOG_COLUMNS), "predictions", f"load-{uuid.uuid4().hex}")
+
+    def log_batches(self, spark: SparkSession) -> DataFrame:
+        """The ledger of streamed batches, one row each."""
+        return self.read(spark, "log_batches", f"{LEDGER_SCHEMA}, batch string")
+
+    def labeled(self, spark: SparkSession) -> DataFrame:
+        """Predictions with their last label, kept up to date by days; see ``refresh_days``."""
+        return self.read(spark, "labeled", f"{LABELED_SCHEMA}, created_date date")
+
+    def refresh_days(self, spark: SparkSession, days: list) -> None:
+        """Rewrite the given days of ``labeled`` from the changes of those days alone.
+
+        The changes are never rewritten in place, so a refresh that is lost is run again.
+        """
+        if not days:
+            return
+        changes = self.dated(spark, "label_changes", LABELED_SCHEMA).where(F.col("created_date").isin(days))
+        others = [c for c in LOG_COLUMNS if c != "prediction_id"] + ["created_date"]
+        last = latest_labels(changes, others)
+        writer = last.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("created_date").parquet(self.path("labeled"))
 
     def feedback(self, spark: SparkSession) -> DataFrame:
         return self.read(spark, "feedback", FEEDBACK_SCHEMA)

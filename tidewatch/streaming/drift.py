@@ -28,6 +28,12 @@ def reference_buckets(reference: DataFrame, columns: Sequence[str], bins: int =
     )
 
 
+def written_buckets(reference: DataFrame, columns: Sequence[str], path: str, bins: int = 10) -> DataFrame:
+    """:func:`reference_buckets`, fitted once: a stream would fit them again for every batch."""
+    reference_buckets(reference, columns, bins).write.mode("overwrite").parquet(path)
+    return reference.sparkSession.read.parquet(path)
+
+
 def window_bucket_counts(
     stream: DataFrame, fitted: DataFrame, columns: Sequence[str], ts: str, width: str, bins: int = 10
 ) -> DataFrame:

@@ -25,11 +25,14 @@ def serve_with_champion(
     prediction_id: Column,
     threshold: float = 0.35,
     swapped: Callable[[int | None, int], None] | None = None,
+    sink: Callable[[DataFrame, int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A batch function that scores and logs with the champion of the moment.
 
     The alias is read once per micro-batch, so a batch never mixes versions; the model is
-    loaded again only when the alias has moved. A batch's folder is replaced on replay.
+    loaded again only when the alias has moved. ``sink`` takes the log rows of a batch, such
+    as :func:`tidewatch.streaming.logsink.log_sink`, which puts them into the prediction log;
+    without one, each batch is a folder of ``served``, replaced on replay.
     """
     held: dict = {"version": None, "model": None}
 
@@ -45,6 +48,9 @@ def serve_with_champion(
             held["version"] = version
         scored = score(held["model"], batch, threshold)
         rows = to_log_rows(scored, model_name, version, created_at, prediction_id)
-        rows.write.mode("overwrite").parquet(ws.path("served", f"batch_id={batch_id}"))
+        if sink:
+            sink(rows, batch_id)
+        else:
+            rows.write.mode("overwrite").parquet(ws.path("served", f"batch_id={batch_id}"))
 
     return run

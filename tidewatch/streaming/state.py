@@ -4,41 +4,74 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_keyed_state(spark: SparkSession) -> None:
+    """Choose the state store that value state needs, for streams that are started afterwards."""
+    if spark.conf.get(PROVIDER, None) != ROCKSDB:
+        spark.conf.set(PROVIDER, ROCKSDB)
+
+
+class Streak(StatefulProcessor):
+    """One number per key: how many counted hits the open run has."""
+
+    def __init__(self, by: str, ts: str, required: int):
+        self.by, self.ts, self.required = by, ts, required
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open = handle.getValueState("open", "n long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        table = pd.concat(list(rows)).sort_values(self.ts, kind="stable")
+        hit, stop = table["hit"].to_numpy(bool), table["stop"].to_numpy(bool)
+        entering = self.open.get()[0] if self.open.exists() else 0
+        hits = np.cumsum(hit)
+        # Hits up to the last stop before a row; the run that entered the batch has none.
+        ended = np.maximum.accumulate(np.where(stop, hits, -entering))
+        length = hits - ended
+        self.open.update((int(length[-1]),))
+        place = np.where(hit, (length - 1) % self.required + 1, 0)
+        yield pd.DataFrame({
+            self.by: key[0], self.ts: table[self.ts].to_numpy(),
+            "streak": place.astype(np.int32), "fire": hit & (length % self.required == 0),
+        })
+
+    def close(self) -> None:
+        pass
 
 
 def debounce_stream(
-    cycles: DataFrame, required: int = 2, by: str = "model_name", ts: str = "cycle_ts"
+    cycles: DataFrame,
+    required: int = 2,
+    by: str = "model_name",
+    ts: str = "cycle_ts",
+    triggered: str = "triggered",
+    evaluated: str | None = None,
+    allow: str | None = None,
 ) -> DataFrame:
-    """(by, ts, streak, fire) for a stream of (by, ts, triggered) cycles.
+    """(by, ts, streak, fire) for a stream of cycles; the rules are those of ``debounce``.
 
     State is one counter per model. Cycles of a micro-batch are taken in time order; they
     are expected to arrive in order across batches, as a monitor writes them.
     """
-    required = max(1, required)
-
-    def advance(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        streak = state.get[0] if state.exists else 0
-        rows = pd.concat(list(batches)).sort_values(ts)
-        streaks, fires = [], []
-        for hit in rows["triggered"].fillna(False).astype(bool):
-            streak = streak + 1 if hit else 0
-            streaks.append(streak)
-            fires.append(streak == required)
-            if streak == required:
-                streak = 0
-        state.update((streak,))
-        yield pd.DataFrame({by: key[0], ts: rows[ts].to_numpy(), "streak": streaks, "fire": fires})
-
+    use_keyed_state(cycles.sparkSession)
+    hit = F.coalesce(F.col(triggered), F.lit(False))
+    if allow:
+        hit = hit & F.coalesce(F.col(allow), F.lit(False))
+    counted = F.coalesce(F.col(evaluated), F.lit(False)) if evaluated else F.lit(True)
+    marked = cycles.select(by, ts, (counted & hit).alias("hit"), (counted & ~hit).alias("stop"))
     kind = cycles.schema[ts].dataType.simpleString()
-    return cycles.groupBy(by).applyInPandasWithState(
-        advance,
+    return marked.groupBy(by).transformWithStateInPandas(
+        Streak(by, ts, max(1, required)),
         f"{by} string, {ts} {kind}, streak int, fire boolean",
-        "streak int",
-        "append",
-        GroupStateTimeout.NoTimeout,
+        "Append",
+        "None",
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from math import exp
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,8 @@ from tidewatch.operators import drift, features, sampling, validation
 from tidewatch.operators.importance import permutation_importance as importance_of
 from tidewatch.operators.lineage import dataset_digest
 from tidewatch.operators.quantiles import exact_median
-from tidewatch.sources import synthetic
+from tidewatch.session import work_dir
+from tidewatch.sources import synthetic, tables
 from workload.registry import query, tidy, u
 from workload.views import frame, with_clause
 
@@ -410,3 +412,48 @@ def permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
 
     found = importance_of(customers, score, "customer_id", "churned", CHURN.features)
     return tidy(found)
+
+
+CSV_COLUMNS = ["customer_id", "tenure_months", "monthly_charges", "payment_method"]
+
+
+@query(
+    "csv_scan",
+    f"""{CLEAN} SELECT customer_id, CASE WHEN customer_id % 10 = 0 THEN 'surplus' WHEN customer_id % 7 = 0 THEN 'short' ELSE 'good' END AS kind,
+  CASE WHEN customer_id % 10 = 0 THEN 6 WHEN customer_id % 7 = 0 THEN 3 ELSE 4 END AS n_cells,
+  CASE WHEN customer_id % 10 <> 0 AND customer_id % 7 = 0 OR customer_id % 13 = 0 THEN '~'
+    WHEN customer_id % 11 = 0 THEN 'cash, "later"' ELSE payment_method END AS payment_method
+FROM customer_features""",
+)
+def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers written as CSV lines, some with cells too many or too few, and read back."""
+    method = (
+        F.when(F.col("customer_id") % 13 == 0, "n/a")
+        .when(F.col("customer_id") % 11 == 0, '"cash, ""later"""')
+        .otherwise(F.col("payment_method"))
+    )
+    cells = F.concat_ws(",", *CSV_COLUMNS[:3])
+    line = (
+        F.when(F.col("customer_id") % 10 == 0, F.concat_ws(",", cells, method, F.lit("more"), F.lit("")))
+        .when(F.col("customer_id") % 7 == 0, cells)
+        .otherwise(F.concat_ws(",", cells, method))
+    )
+
+    def headed(batches):
+        first = True
+        for batch in batches:
+            yield pd.DataFrame({"line": [",".join(CSV_COLUMNS)]}) if first else batch.iloc[:0]
+            yield batch
+            first = False
+
+    path = f"{work_dir(spark, 'csv')}/customers"
+    frame(spark, sf, "customer_features").select(line.alias("line")).mapInPandas(headed, "line string").write.text(path)
+    width = F.lit(len(CSV_COLUMNS))
+    found = tables.scan_csv(spark, path).withColumn("n_cells", F.coalesce("n_cells", width))
+    kind = F.when(F.col("n_cells") > width, "surplus").when(F.col("n_cells") < width, "short").otherwise("good")
+    return found.select(
+        F.col("customer_id").cast("long").alias("customer_id"),
+        kind.alias("kind"),
+        F.col("n_cells").cast("int").alias("n_cells"),
+        F.coalesce("payment_method", F.lit("~")).alias("payment_method"),
+    )

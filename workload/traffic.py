@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +56,7 @@ def latency_histogram(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _quantile_sql(q: float) -> str:
+def quantile_sql(q: float) -> str:
     """The first bucket whose cumulative count reaches the rank, interpolated."""
     cases, low, below = [], 0.0, "0"
     for i, bound in enumerate(timeseries.LATENCY_BOUNDS):
@@ -72,7 +74,7 @@ BUCKETS = f"""b AS (SELECT {_bucket('1 day')} AS window_start, route, count(*) A
 
 @query(
     "histogram_quantile",
-    f"""{REQ}, {BUCKETS} SELECT window_start, route, n, round({_quantile_sql(0.5)}, 9) AS p50, round({_quantile_sql(0.95)}, 9) AS p95 FROM b""",
+    f"""{REQ}, {BUCKETS} SELECT window_start, route, n, round({quantile_sql(0.5)}, 9) AS p50, round({quantile_sql(0.95)}, 9) AS p95 FROM b""",
 )
 def histogram_quantile(spark: SparkSession, sf: str) -> DataFrame:
     requests = frame(spark, sf, "request_log").where("route LIKE '/predict%'")
@@ -89,7 +91,7 @@ lat AS (SELECT {_bucket('6 hours')} AS ts, count(*) AS n, {', '.join(
   FROM request_log WHERE route LIKE '/predict%' GROUP BY 1),
 up AS (SELECT TIMESTAMP '2024-02-01 00:00:00' AS ts, CAST(date_sub('second', max(ts), TIMESTAMP '2024-02-01 00:00:00') AS DOUBLE) AS v FROM request_log),
 x AS (SELECT 'high_error_rate' AS alert, 'warning' AS severity, 300 AS hold, ts, v, v > 0.05 AS hit FROM ratio
-  UNION ALL SELECT 'high_latency', 'warning', 300, ts, {_quantile_sql(0.95)}, ({_quantile_sql(0.95)}) > 0.5 FROM lat
+  UNION ALL SELECT 'high_latency', 'warning', 300, ts, {quantile_sql(0.95)}, ({quantile_sql(0.95)}) > 0.5 FROM lat
   UNION ALL SELECT 'monitor_stale', 'warning', 0, ts, v, v > 600 FROM up),
 runs AS (SELECT *, sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER (PARTITION BY alert ORDER BY ts) AS run FROM x),
 since AS (SELECT *, min(CASE WHEN hit THEN ts END) OVER (PARTITION BY alert, run) AS s FROM runs)"""
@@ -117,3 +119,71 @@ def alert_states(spark: SparkSession, sf: str) -> DataFrame:
     stale = timeseries.age_samples(requests, "monitor_age_seconds", now)
     samples = ratio.unionByName(latency).unionByName(stale)
     return tidy(timeseries.alert_states(samples), 9)
+
+
+ALL_INPUTS = f"""{with_clause('request_log', 'cycles', 'error_counter')},
+hours AS (SELECT DISTINCT {_bucket('1 hour')} AS h FROM request_log),
+grid AS (SELECT unnest(generate_series((SELECT min(h) FROM hours), TIMESTAMP '2024-02-01 00:00:00', INTERVAL 1 HOUR)) AS ts),
+ratio AS (SELECT {_bucket('6 hours')} AS ts, count(*) FILTER (WHERE status LIKE '5%') / CAST(count(*) AS DOUBLE) AS v
+  FROM request_log GROUP BY 1),
+lat AS (SELECT {_bucket('6 hours')} AS ts, count(*) AS n, {', '.join(
+    f"count(*) FILTER (WHERE duration_s <= {b}) AS c{i}" for i, b in enumerate(timeseries.LATENCY_BOUNDS))}
+  FROM request_log WHERE route LIKE '/predict%' GROUP BY 1),
+steps AS (SELECT ts, value, lag(value) OVER (ORDER BY ts, value) AS before FROM error_counter),
+grown AS (SELECT {_bucket('6 hours')} AS ts, CAST(sum(CASE WHEN value >= before THEN value - before ELSE coalesce(value - 0 * before, 0) END) AS DOUBLE) AS v
+  FROM steps GROUP BY 1),
+x AS (
+  SELECT 'service' AS model_name, 'api_down' AS alert, 'critical' AS severity, 60 AS hold, ts, CASE WHEN h IS NULL THEN 0 ELSE 1 END AS v, h IS NULL AS hit
+    FROM grid LEFT JOIN hours ON h = ts
+  UNION ALL SELECT model_name, 'model_not_loaded', 'critical', 120, cycle_ts, CASE WHEN model_version IS NULL THEN 0 ELSE 1 END, model_version IS NULL FROM cycles
+  UNION ALL SELECT 'service', 'high_error_rate', 'warning', 300, ts, v, v > 0.05 FROM ratio
+  UNION ALL SELECT 'service', 'high_latency', 'warning', 300, ts, {quantile_sql(0.95)}, ({quantile_sql(0.95)}) > 0.5 FROM lat
+  UNION ALL SELECT 'service', 'prediction_log_failing', 'warning', 0, ts, v, v > 0 FROM grown
+  UNION ALL SELECT model_name, 'data_drift', 'warning', 0, cycle_ts, CASE WHEN drift_share >= 0.15 THEN 1 ELSE 0 END, drift_share >= 0.15 FROM cycles
+  UNION ALL SELECT model_name, 'live_roc_auc_low', 'warning', 0, cycle_ts, live_auc, live_auc < 0.75 FROM cycles
+  UNION ALL SELECT model_name, 'monitor_stale', 'warning', 0, TIMESTAMP '2024-02-01 00:00:00',
+    date_sub('second', max(cycle_ts)::TIMESTAMP, TIMESTAMP '2024-02-01 00:00:00'), date_sub('second', max(cycle_ts)::TIMESTAMP, TIMESTAMP '2024-02-01 00:00:00') > 600
+    FROM cycles GROUP BY model_name),
+runs AS (SELECT *, sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER (PARTITION BY model_name, alert ORDER BY ts) AS run FROM x),
+since AS (SELECT *, min(CASE WHEN hit THEN ts END) OVER (PARTITION BY model_name, alert, run) AS s FROM runs)"""
+
+
+@query(
+    "alert_states_all",
+    f"""{ALL_INPUTS} SELECT model_name, alert, severity, CAST(ts AS TIMESTAMP) AS ts, round(CAST(v AS DOUBLE), 9) AS value,
+  CASE WHEN NOT hit THEN 'inactive' WHEN date_sub('second', s, ts) >= hold THEN 'firing' ELSE 'pending' END AS state FROM since""",
+)
+def alert_states_all(spark: SparkSession, sf: str) -> DataFrame:
+    """All eight alerts, from requests, the counter of errors and the cycles of every model."""
+    requests, cycles, errors = (frame(spark, sf, v) for v in ("request_log", "cycles", "error_counter"))
+    now = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    service = F.lit("service").alias("model_name")
+    at = F.col("window_start").alias("ts")
+    latency = timeseries.histogram_quantiles(
+        requests.where("route LIKE '/predict%'"), "duration_s", timeseries.LATENCY_BOUNDS, {"value": 0.95}, "ts", "6 hours"
+    )
+    daily = cycles.withColumn("cycle_ts", F.col("cycle_ts").cast("timestamp_ntz"))
+    gauges = timeseries.gauges_of_cycles(
+        daily.withColumns({
+            "model_loaded": F.col("model_version").isNotNull().cast("int"),
+            "dataset_drift": (F.col("drift_share") >= 0.15).cast("int"),
+            "live_roc_auc": F.col("live_auc"),
+        }),
+        ["model_loaded", "dataset_drift", "live_roc_auc"], "model_name", "cycle_ts",
+    )
+    parts = [
+        timeseries.presence(requests, "ts", "1 hour", "up", until=now).select(service, "metric", "ts", "value"),
+        timeseries.error_ratio(requests, "ts", "6 hours").select(
+            service, F.lit("error_ratio").alias("metric"), at, F.col("ratio").alias("value")
+        ),
+        latency.select(service, F.lit("latency_p95").alias("metric"), at, "value"),
+        timeseries.counter_increase(errors, "ts", "value", "6 hours").select(
+            service, F.lit("log_errors_increase").alias("metric"), at, F.col("increase").alias("value")
+        ),
+        gauges.select("model_name", F.col("gauge").alias("metric"), F.col("cycle_ts").alias("ts"), "value"),
+        timeseries.age_samples(
+            daily.select("model_name", F.col("cycle_ts").alias("ts")), "monitor_age_seconds", now, ["model_name"]
+        ),
+    ]
+    samples = reduce(DataFrame.unionByName, parts)
+    return tidy(timeseries.alert_states(samples, by=["model_name"]), 9)

@@ -107,6 +107,11 @@ VIEWS = {
           CASE event_type WHEN 'signup' THEN '/feedback' WHEN 'click' THEN '/predict/batch' ELSE '/predict' END AS route,
           CASE WHEN event_type = 'error' THEN '500' ELSE '200' END AS status, value / 100 AS duration_s
         FROM {events}""",
+    # Errors so far as a counter that starts again every day.
+    "error_counter": """
+        SELECT ts, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (
+          PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
+        FROM {events}""",
     "scored_docs": """
         SELECT d.doc_id, d.lang, d.source, d.n_chars / (d.n_chars + CAST(2000 AS DOUBLE)) AS churn_probability,
           d.n_chars / (d.n_chars + CAST(500 AS DOUBLE)) AS challenger_probability,
