@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,26 +55,67 @@ def _stack(df: DataFrame, values: Sequence[tuple[str, Column]], value: str, side
     )
 
 
-def _count_sides(long: DataFrame, value: str) -> DataFrame:
+def _count_sides(long: DataFrame, *values: str) -> DataFrame:
     """Counts per side; the NULL row carries the missing values, counted apart.
 
-    The aggregate itself always has the same two sums, and the split into present and
-    missing is a projection on top, so every consumer can share one shuffle.
+    The aggregate itself always has the same sums, and the split into present and missing is
+    a projection on top, so every consumer can share one shuffle.
     """
     now = F.col("is_current")
-    totals = long.groupBy("feature", value).agg(
+    kind = [F.max("is_numeric").alias("is_numeric")] if "is_numeric" in long.columns else []
+    totals = long.groupBy("feature", *values).agg(
         F.sum(F.when(now, 0).otherwise(1)).cast("long").alias("r"),
         F.sum(F.when(now, 1).otherwise(0)).cast("long").alias("c"),
+        *kind,
     )
-    present = F.col(value).isNotNull()
+    present = reduce(lambda a, b: a | b, [F.col(v).isNotNull() for v in values])
     return totals.select(
         "feature",
-        value,
+        *values,
         *[
             F.when(keep, F.col(short)).otherwise(F.lit(0)).cast("long").alias(f"{name}_{side}")
             for name, keep in (("n", present), ("null", ~present))
             for short, side in (("r", "ref"), ("c", "cur"))
         ],
+        *(["is_numeric"] if kind else []),
+    )
+
+
+def _mixed(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], binary: Sequence[str], side: str
+) -> DataFrame:
+    """(feature, value, category, is_numeric, is_current): every monitored cell, in one scan."""
+    none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    cells = [(c, number_of(df, c), text, True) for c in numeric]
+    cells += [(c, none, _as_category(df, c, True), False) for c in binary]
+    cells += [(c, none, _as_category(df, c, False), False) for c in categorical]
+    flat = [x for name, value, category, kind in cells for x in (F.lit(name), value, category, F.lit(kind))]
+    return df.select(
+        F.stack(F.lit(len(cells)), *flat).alias("feature", "value", "category", "is_numeric"),
+        F.lit(side == "current").alias("is_current"),
+    )
+
+
+def mixed_counts(
+    reference: DataFrame,
+    current: DataFrame,
+    numeric: Sequence[str] = (),
+    categorical: Sequence[str] = (),
+    binary: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`numeric_counts` and :func:`category_counts` from one scan of each side and one shuffle.
+
+    Which of the two a row belongs to is itself an aggregate: a filter on the name would be
+    pushed below the shuffle and make two of it.
+    """
+    sides = [
+        _mixed(df, numeric, categorical, binary, side)
+        for df, side in ((reference, "reference"), (current, "current"))
+    ]
+    counts = _count_sides(sides[0].unionAll(sides[1]), "value", "category")
+    return (
+        counts.where("is_numeric").drop("category", "is_numeric"),
+        counts.where("NOT is_numeric").drop("value", "is_numeric"),
     )
 
 
@@ -183,7 +225,10 @@ def numeric_drift(
     slices: int | None = None,
 ) -> DataFrame:
     """PSI, KS and summaries for every numeric column; one row per column."""
-    counts = numeric_counts(reference, current, columns)
+    return _numeric_drift(numeric_counts(reference, current, columns), bins, slices)
+
+
+def _numeric_drift(counts: DataFrame, bins: int, slices: int | None = None) -> DataFrame:
     shape = _edges(_ranked(counts, slices), bins, gap=_gap())
     sums = counts.groupBy("feature").agg(*_moments("ref"), *_moments("cur"))
     # One row per monitored column: as long as the column list, whatever the table size.
@@ -282,7 +327,10 @@ def categorical_drift(
     Totals are joined back instead of summed over a per-column window, so a column with
     very many categories is still spread over all tasks.
     """
-    counts = category_counts(reference, current, categorical, binary)
+    return _categorical_drift(category_counts(reference, current, categorical, binary))
+
+
+def _categorical_drift(counts: DataFrame) -> DataFrame:
     totals = counts.groupBy("feature").agg(
         F.sum("n_ref").alias("t_ref"),
         F.sum("n_cur").alias("t_cur"),
@@ -376,13 +424,12 @@ def drift_report(
     ``drift_detected`` is decided by PSI alone; a PSI that is not finite never alerts.
     """
     parts = []
+    numbers, words = mixed_counts(reference, current, numeric, categorical, binary)
     if numeric:
-        parts.append(numeric_drift(reference, current, numeric, policy.bins, slices).withColumn("kind", F.lit("numeric")))
+        parts.append(_numeric_drift(numbers, policy.bins, slices).withColumn("kind", F.lit("numeric")))
     if categorical or binary:
         kind = F.when(F.col("feature").isin(list(binary)), F.lit("binary")).otherwise("categorical")
-        parts.append(
-            categorical_drift(reference, current, categorical, binary).drop("dof").withColumn("kind", kind)
-        )
+        parts.append(_categorical_drift(words).drop("dof").withColumn("kind", kind))
     if reference_scores is not None and current_scores is not None:
         parts.append(
             numeric_drift(reference_scores, current_scores, [score], policy.bins, slices).withColumn(
