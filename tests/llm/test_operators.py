@@ -213,34 +213,40 @@ def test_toxicity(spark, docs, nothing):
 
 
 def earlier_strings(rows, n=100):
-    seen, out = {}, []
-    texts = sorted(((-(1 << 63) if i is None else i), (t or "").encode()) for i, t in rows)
+    """By the definition: ids that rows repeat are documents of their own, not earlier than each other."""
+    first, out = {}, collections.Counter()
+    texts = [((-(1 << 63) if i is None else i), (t or "").encode()) for i, t in rows]
     for i, raw in texts:
-        mark = np.zeros(len(raw), bool)
-        own = {}
         for p in range(len(raw) - n + 1):
             w = raw[p : p + n]
-            if seen.get(w, i) < i or w in own:
+            first[w] = min(first.get(w, i), i)
+    for i, raw in texts:
+        mark, own = np.zeros(len(raw), bool), set()
+        for p in range(len(raw) - n + 1):
+            w = raw[p : p + n]
+            if first[w] < i or w in own:
                 mark[p : p + n] = True
-            own.setdefault(w, p)
-        for w in own:
-            seen[w] = min(seen.get(w, i), i)
+            own.add(w)
         rest = bytes(np.frombuffer(raw, np.uint8)[~mark])
         spans = int((np.diff(np.r_[0, mark.astype(int)]) == 1).sum())
-        out.append((len(raw), int(mark.sum()), spans, hashlib.sha256(rest).hexdigest()))
-    return collections.Counter(out)
+        out[None if i == -(1 << 63) else i, len(raw), int(mark.sum()), spans, hashlib.sha256(rest).hexdigest()] += 1
+    return out
 
 
 def test_repeats(spark, docs, nothing, monkeypatch):
     rng = np.random.default_rng(5)
     piece = ["".join(rng.choice(list("abcdé \n"), 150)) for _ in range(4)]
     rows = [(k, "".join(piece[c] + "".join(rng.choice(list("xyz"), 30)) for c in rng.integers(0, 4, 3))) for k in range(30)]
-    rows += [(i + 100 if i else None, t) for i, t in TEXTS if i != 14]
+    rows += [(i + 100 if i else None, t) for i, t in TEXTS]
+    alone = lambda k: "".join(rng.choice(list("mnopq"), k))
+    p = alone(300)
+    rows += [(200, p), (205, p + alone(50)), (205, alone(300)), (205, p[:250] + alone(40)), (205, p[:250] + alone(40))]
+    rows += [(None, p), (None, alone(200) + p), (None, alone(300)), (None, p + "!" + p)]  # ids that are repeated
     table = as_docs(spark, rows)
     for most in (repeats.MOST, 2):
         monkeypatch.setattr(repeats, "MOST", most)
         got = repeats.remove_repeats(table).collect()
-        assert collections.Counter((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == earlier_strings(rows)
+        assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == earlier_strings(rows)
     assert repeats.remove_repeats(nothing).count() == 0
 
 

@@ -8,9 +8,12 @@ anchor has different contexts, one text of each is fetched, and a run-length ind
 finds which strings start earlier. Anchors with very many contexts are dealt out by the
 hashes of their strings instead. Marks are joined per document, merged, and cut out.
 
-Hashes have 64 bits and are compared together with a second hash of the context. Rows that
-repeat an id are not earlier than each other; a null id comes before all others; a null text
-is empty; strings are bytes of UTF-8; an empty table gives no rows.
+Hashes have 64 bits and are compared together with a second hash of the context. A document
+is an id with a hash of the text: rows that repeat an id with another text are documents of
+their own and not earlier than each other, and rows that repeat both get equal results. Null
+ids are one id that comes before all others; a null text is empty; strings are bytes of
+UTF-8, however long the text; carried columns get the prefix ``c_``, others are ignored
+whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -95,13 +98,27 @@ def anchors(texts: list[bytes], up: np.ndarray, down: np.ndarray):
     return d, p - starts[d], left, right, gram[p], context
 
 
+def repeated(own: np.ndarray, value: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which entries have one of the same owner and value at a smaller place."""
+    order = np.lexsort((place, value, own))
+    a, b = order[:-1], order[1:]
+    start = np.r_[True, (own[a] != own[b]) | (value[a] != value[b])]
+    least = place[order][start][np.cumsum(start) - 1]
+    out = np.zeros(len(own), bool)
+    out[order] = place[order] > least
+    return out
+
+
 def sampled(docs: DataFrame) -> DataFrame:
-    """(gram, context, doc, pos, reach) of every anchor; reach = 256 * left + right."""
+    """(gram, context, doc, own, pos, reach, again) of every anchor; reach = 256 * left + right.
+
+    ``again`` says that the document has the context at an earlier place too.
+    """
 
     def sample(batches):
         up, down = powers(PRIME, 1 << 16), powers(INVERSE, 1 << 16)
 
-        def emit(ids, texts):
+        def emit(ids, hashes, texts):
             nonlocal up, down
             total = sum(map(len, texts))
             if total >= len(up):
@@ -112,55 +129,61 @@ def sampled(docs: DataFrame) -> DataFrame:
                     pa.array(gram.view(np.int64)),
                     pa.array(context.view(np.int64)),
                     pa.array(np.array(ids, np.int64)[d]),
+                    pa.array(np.array(hashes, np.int64)[d]),
                     pa.array(pos.astype(np.int32)),
                     pa.array((left * 256 + right).astype(np.int32)),
+                    pa.array(repeated(d, context, pos)),
                 ],
-                names=["gram", "context", "doc", "pos", "reach"],
+                names=["gram", "context", "doc", "own", "pos", "reach", "again"],
             )
 
-        ids, texts, held = [], [], 0
+        ids, hashes, texts, held = [], [], [], 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                raw = text.encode("utf-8", "replace")
+            for doc, own, raw in zip(*(batch.column(c).to_pylist() for c in ("doc", "own", "text"))):
                 if len(raw) >= LENGTH:
                     ids.append(doc)
+                    hashes.append(own)
                     texts.append(raw)
                     held += len(raw)
                     if held >= CHUNK:
-                        yield emit(ids, texts)
-                        ids, texts, held = [], [], 0
+                        yield emit(ids, hashes, texts)
+                        ids, hashes, texts, held = [], [], [], 0
         if ids:
-            yield emit(ids, texts)
+            yield emit(ids, hashes, texts)
 
-    return docs.mapInArrow(sample, "gram long, context long, doc long, pos int, reach int")
+    return docs.mapInArrow(sample, "gram long, context long, doc long, own long, pos int, reach int, again boolean")
 
 
 def fetched(asked: DataFrame, docs: DataFrame) -> DataFrame:
-    """Asked contexts (gram, doc, pos, reach) with their bytes, grouped by document to read each text once."""
-    wanted = asked.groupBy("doc").agg(F.collect_list(F.struct("gram", "pos", "reach", "m")).alias("asked"))
-    joined = docs.join(wanted, "doc")
+    """Asked contexts (gram, doc, own, pos, reach) with their bytes, grouped by document to read each text once."""
+    wanted = asked.groupBy("doc", "own").agg(F.collect_list(F.struct("gram", "pos", "reach", "m")).alias("asked"))
+    joined = docs.join(wanted, ["doc", "own"]).select("doc", "own", "text", "asked")
 
     def cut(batches):
         for batch in batches:
-            rows = []
-            for doc, text, asked in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "asked"))):
-                raw = text.encode("utf-8", "replace")
-                for a in asked:
-                    left, right = divmod(a["reach"], 256)
-                    rows.append((a["gram"], doc, a["pos"], left, raw[a["pos"] - left : a["pos"] + right], a["m"]))
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
+            lists = batch.column(3)
+            sizes = np.diff(lists.offsets.to_numpy())
+            flat = lists.flatten()
+            pos, reach = (flat.field(c).to_numpy().astype(np.int64) for c in ("pos", "reach"))
+            left, right = reach >> 8, reach & 255
+            row = np.repeat(np.arange(batch.num_rows), sizes)
+            texts = batch.column(2).to_pylist()
+            pieces = [texts[r][a:b] for r, a, b in zip(row.tolist(), (pos - left).tolist(), (pos + right).tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
-                names=["gram", "doc", "pos", "left", "bytes", "m"],
-            )
+                [
+                    flat.field("gram"), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)),
+                    flat.field("pos"), pa.array(left.astype(np.int32)), pa.array(pieces, pa.binary()), flat.field("m"),
+                ],
+                names=["gram", "doc", "own", "pos", "left", "bytes", "m"],
+            )
 
-    return joined.mapInArrow(cut, "gram long, doc long, pos int, left int, bytes binary, m long")
+    return joined.mapInArrow(cut, "gram long, doc long, own long, pos int, left int, bytes binary, m long")
 
 
 def indexed(contexts: DataFrame) -> DataFrame:
-    """Marks (doc, start, end) of strings that start earlier in another context of the same anchor."""
+    """Marks (doc, own, start, end) of strings that start earlier in another context of the same anchor."""
 
-    def resolve(docs, starts, texts):
+    def resolve(docs, hashes, starts, texts):
         sizes = np.array([len(t) for t in texts])
         begins = np.cumsum(sizes + 1) - sizes - 1
         text = np.full(int((sizes + 1).sum()), 0, np.int64)
@@ -169,123 +192,162 @@ def indexed(contexts: DataFrame) -> DataFrame:
         ends = begins + sizes
         text[ends] = 256 + np.arange(len(texts))  # all different
         index = RunIndex(text, LENGTH + LEFT + 8)
-        _, doc_rank = np.unique(np.array(docs, np.int64), return_inverse=True)
+        docs, hashes = np.array(docs, np.int64), np.array(hashes, np.int64)
+        ids, doc_rank = np.unique(docs, return_inverse=True)
         own = np.repeat(np.arange(len(texts)), sizes + 1)
         offset = np.arange(len(text)) - begins[own] + np.array(starts, np.int64)[own]
-        place = (doc_rank.astype(np.int64)[own] << 32) + offset
-        hit = index.earlier(place, LENGTH)
+        order = np.lexsort((hashes, docs))
+        other = np.r_[True, (docs[order][1:] != docs[order][:-1]) | (hashes[order][1:] != hashes[order][:-1])]
+        if other.sum() == len(ids):  # no id has two texts: one number gives the order
+            hit = index.earlier((doc_rank.astype(np.int64)[own] << 32) + offset, LENGTH)
+        else:
+            member = np.empty(len(docs), np.int64)
+            member[order] = np.cumsum(other)
+            group = index.groups(LENGTH)
+            hit = index.earlier(doc_rank.astype(np.int64)[own], LENGTH) | repeated(member[own], group, offset)
         edge = np.diff(np.r_[0, hit.astype(np.int8), 0])
         a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.array(docs, np.int64)[own[a]]),
+                pa.array(docs[own[a]]),
+                pa.array(hashes[own[a]]),
                 pa.array(offset[a].astype(np.int32)),
                 pa.array((offset[b] + LENGTH).astype(np.int32)),
             ],
-            names=["doc", "start", "end"],
+            names=["doc", "own", "start", "end"],
         )
 
     def run(batches):
-        docs, starts, texts, held, last = [], [], [], 0, None
+        docs, hashes, starts, texts, held, last = [], [], [], [], 0, None
+        names = ("gram", "doc", "own", "pos", "left", "bytes")
         for batch in batches:
-            for gram, doc, pos, left, raw in zip(*(batch.column(c).to_pylist() for c in ("gram", "doc", "pos", "left", "bytes"))):
+            for gram, doc, own, pos, left, raw in zip(*(batch.column(c).to_pylist() for c in names)):
                 if held >= INDEXED and gram != last:
-                    yield resolve(docs, starts, texts)
-                    docs, starts, texts, held = [], [], [], 0
+                    yield resolve(docs, hashes, starts, texts)
+                    docs, hashes, starts, texts, held = [], [], [], [], 0
                 docs.append(doc)
+                hashes.append(own)
                 starts.append(pos - left)
                 texts.append(raw)
                 held += len(raw) + 1
                 last = gram
         if texts:
-            yield resolve(docs, starts, texts)
+            yield resolve(docs, hashes, starts, texts)
 
-    dealt = contexts.select("gram", "doc", "pos", "left", "bytes").repartition(partitions_for(contexts.sparkSession), "gram")
-    return dealt.sortWithinPartitions("gram").mapInArrow(run, "doc long, start int, end int")
+    dealt = contexts.select("gram", "doc", "own", "pos", "left", "bytes").repartition(partitions_for(contexts.sparkSession), "gram")
+    return dealt.sortWithinPartitions("gram").mapInArrow(run, "doc long, own long, start int, end int")
 
 
 def dealt_out(contexts: DataFrame) -> DataFrame:
     """The same marks for anchors with very many contexts: strings meet by their hash."""
 
     def spell(batches):
+        up, down = powers(PRIME, 512), powers(INVERSE, 512)
         for batch in batches:
-            up, down = powers(PRIME, 512), powers(INVERSE, 512)
             for at in range(0, batch.num_rows, 1024):
                 part, out = batch.slice(at, 1024), []
-                for gram, doc, pos, left, raw in zip(*(part.column(c).to_pylist() for c in ("gram", "doc", "pos", "left", "bytes"))):
+                names = ("gram", "doc", "own", "pos", "left", "bytes")
+                for gram, doc, own, pos, left, raw in zip(*(part.column(c).to_pylist() for c in names)):
                     i = np.arange(len(raw) - LENGTH + 1)
                     h = Hasher(np.frombuffer(raw, np.uint8), up, down).between(i, i + LENGTH)
-                    out.append((np.full(len(i), gram), h.view(np.int64), np.full(len(i), doc), pos - left + i))
-                columns = [np.concatenate([o[c] for o in out]) for c in range(4)] if out else [np.zeros(0, np.int64)] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["gram", "h", "doc", "start"])
-
-    strings = contexts.select("gram", "doc", "pos", "left", "bytes").mapInArrow(spell, "gram long, h long, doc long, start long")
-    # A string's least place is combined before the shuffle; what is not at that place is marked.
-    least = strings.groupBy("gram", "h").agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    later = strings.join(least, ["gram", "h"]).where(F.struct("doc", "start") > F.col("first"))
-    return later.select("doc", F.col("start").cast("int").alias("start"), (F.col("start") + LENGTH).cast("int").alias("end"))
+                    out.append((np.full(len(i), gram), h.view(np.int64), np.full(len(i), doc), np.full(len(i), own), pos - left + i))
+                columns = [np.concatenate([o[c] for o in out]) for c in range(5)] if out else [np.zeros(0, np.int64)] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c.astype(np.int64)) for c in columns], names=["gram", "h", "doc", "own", "start"]
+                )
+
+    strings = contexts.select("gram", "doc", "own", "pos", "left", "bytes").mapInArrow(
+        spell, "gram long, h long, doc long, own long, start long"
+    )
+    # A string's least document, and its least place in each document, are combined before the shuffle.
+    least = strings.groupBy("gram", "h").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")).where("d1 > d0")
+    inside = strings.groupBy("gram", "h", "doc", "own").agg(F.min("start").alias("s0"), F.max("start").alias("s1")).where("s1 > s0")
+    later = strings.join(least, ["gram", "h"]).where("doc > d0").select("doc", "own", "start")
+    again = strings.join(inside, ["gram", "h", "doc", "own"]).where("start > s0").select("doc", "own", "start")
+    found = later.unionByName(again)
+    return found.select(
+        "doc", "own", F.col("start").cast("int").alias("start"), (F.col("start") + LENGTH).cast("int").alias("end")
+    )
 
 
 def marks(docs: DataFrame) -> DataFrame:
-    """(doc, start, end): byte ranges to remove, possibly overlapping, of (doc, text)."""
+    """(doc, own, start, end): byte ranges to remove, possibly overlapping, of (doc, own, text)."""
     found = sampled(docs)
-    inside = W.partitionBy("gram", "context").orderBy("doc", "pos")
     over = W.partitionBy("gram")
     decided = kept(
         found.select(
             "*",
-            F.first("doc").over(inside.rowsBetween(W.unboundedPreceding, 0)).alias("d0"),
-            F.row_number().over(inside).alias("rn"),
+            F.min("doc").over(W.partitionBy("gram", "context")).alias("d0"),
             F.min("context").over(over).alias("low"),
             F.max("context").over(over).alias("high"),
         )
-        .where((F.col("rn") > 1) | (F.col("low") != F.col("high")))
-        .select("gram", "doc", "pos", "reach", "rn"),
+        .withColumn("later", F.col("again") | (F.col("doc") > F.col("d0")))
+        .where(F.col("later") | (F.col("low") != F.col("high")))
+        .select("gram", "doc", "own", "pos", "reach", "later"),
         "anchors",
     )
     left, right = F.floor(F.col("reach") / 256).cast("int"), F.pmod("reach", F.lit(256))
-    whole = decided.where("rn > 1").select("doc", (F.col("pos") - left).alias("start"), (F.col("pos") + right).alias("end"))
-    open_ = decided.where("rn = 1").select("gram", "doc", "pos", "reach")
+    whole = decided.where("later").select(
+        "doc", "own", (F.col("pos") - left).alias("start"), (F.col("pos") + right).alias("end")
+    )
+    open_ = decided.where("NOT later").select("gram", "doc", "own", "pos", "reach")
     many = open_.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     contexts = kept(fetched(open_.join(many, "gram"), docs), "contexts")
     return whole.unionByName(indexed(contexts.where(F.col("m") <= MOST))).unionByName(dealt_out(contexts.where(F.col("m") > MOST)))
 
 
+def merged(spans: pa.ListArray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of the united spans of every text, in order."""
+    counts = np.diff(spans.offsets.to_numpy())
+    flat = spans.flatten()
+    row = np.repeat(np.arange(len(counts)), counts).astype(np.int64)
+    start, end = (flat.field(c).to_numpy().astype(np.int64) for c in ("start", "end"))
+    order = np.argsort((row << 32) + start, kind="stable")
+    row, start = row[order], start[order]
+    reach = np.maximum.accumulate((row << 32) + np.minimum(end[order], sizes[row])) if len(row) else row
+    first = np.flatnonzero(np.r_[True, (row[1:] << 32) + start[1:] > reach[:-1]]) if len(row) else row
+    last = np.r_[first[1:], len(row)] - 1
+    return row[first], start[first], reach[last] & ((1 << 32) - 1) if len(row) else reach
+
+
 def remove_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text) and ``carry`` of every document."""
     carry = carry or []
     shaped = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), text_or_empty(), "doc_id",
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
+        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("own"),
+        text_or_empty().cast("binary").alias("text"),
+        "doc_id",
         *[F.col(f"`{c}`").alias(f"c_{c}") for c in carry],
     )
-    spans = kept(marks(shaped.select("doc", "text")), "marks").groupBy("doc").agg(
+    spans = kept(marks(shaped.select("doc", "own", "text")), "marks").groupBy("doc", "own").agg(
         F.collect_list(F.struct("start", "end")).alias("spans")
     )
-    joined = shaped.join(spans, "doc", "left").select("doc_id", *[f"c_{c}" for c in carry], "text", "spans")
+    joined = shaped.join(spans, ["doc", "own"], "left").select("doc_id", *[f"c_{c}" for c in carry], "text", "spans")
 
     def cut(batches):
         for batch in batches:
-            rows = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-                raw, parts, at, removed, n = text.encode("utf-8", "replace"), [], 0, 0, 0
-                end = -1
-                for a, b in sorted((s["start"], min(s["end"], len(raw))) for s in spans or ()):
-                    if a > end:
-                        n += 1
-                        parts.append(raw[at:a])
-                        removed += b - a
-                        at = end = b
-                    elif b > end:
-                        removed += b - end
-                        at = end = b
-                parts.append(raw[at:])
-                rest = b"".join(parts)
-                rows.append((len(raw), removed, n, hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore")))
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+            texts, spans = batch.column("text").to_pylist(), batch.column("spans")
+            sizes = np.array([len(t) for t in texts], np.int64)
+            row, start, end = merged(spans, sizes)
+            removed = np.bincount(row, end - start, len(texts)).astype(np.int64)
+            bounds = np.searchsorted(row, np.arange(len(texts) + 1))
+            rest = []
+            for raw, a, b in zip(texts, bounds.tolist(), bounds[1:].tolist()):
+                if b > a:
+                    edges = [0, *np.c_[start[a:b], end[a:b]].ravel().tolist(), len(raw)]
+                    raw = b"".join([raw[i:j] for i, j in zip(edges[::2], edges[1::2])])
+                rest.append(raw)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-2], *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))],
-                names=[*batch.schema.names[:-2], *names],
+                [
+                    *batch.columns[:-2],
+                    pa.array(sizes),
+                    pa.array(removed),
+                    pa.array(np.diff(bounds)),
+                    pa.array([hashlib.sha256(r).hexdigest() for r in rest], pa.string()),
+                    pa.array([r.decode("utf-8", "ignore") for r in rest], pa.string()),
+                ],
+                names=[*batch.schema.names[:-2], "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"],
             )
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-2])

@@ -60,6 +60,13 @@ class RunIndex:
         reach[self.first] = self.common + self.first
         return np.maximum(np.maximum.accumulate(reach) - np.arange(len(self.text)), 0)
 
+    def groups(self, length: int) -> np.ndarray:
+        """A number for every suffix; those that share ``length`` characters have the same."""
+        shared = self.matching_statistics()[self.order]
+        out = np.empty(len(self.text), np.int64)
+        out[self.order] = np.cumsum(np.r_[False, shared[1:] < length])
+        return out
+
     def earlier(self, place: np.ndarray, length: int) -> np.ndarray:
         """Which suffixes share ``length`` characters with one at a smaller place."""
         shared = self.matching_statistics()[self.order]
