@@ -171,15 +171,17 @@ def write_ids(
 
         def chunks():
             nonlocal subwords, writer
+            end = None
             for batch in batches:
                 if subwords is None:
                     subwords = Subwords(path, drops_space)
+                    end = np.array([end_id], np.uint32 if end_id > np.iinfo(subwords.kind).max else subwords.kind)
                     writer = Writer(bits_for(max(subwords.size, end_id + 1)))
                 for at in range(0, batch.num_rows, TEXTS):
                     part = batch.slice(at, TEXTS)
                     encoded = subwords.encode(part.column(1).to_pylist())
                     yield from writer.add(
-                        (doc_id, np.append(ids, [end_id]).astype(np.uint32))
+                        (doc_id, np.append(ids, end).astype(np.uint32))
                         for doc_id, ids in zip(part.column(0).to_pylist(), encoded)
                     )
             if writer is not None:

@@ -88,18 +88,20 @@ def pieces_of(docs: DataFrame, path: str, drops_space: bool, end_id: int, capaci
 
     def tokenize(batches):
         part, seen, subwords = TaskContext.get().partitionId(), defaultdict(int), Subwords(path, drops_space)
+        end = np.array([end_id], np.uint32 if end_id > np.iinfo(subwords.kind).max else subwords.kind)
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
                 rows = batch.slice(at, TEXTS)
                 out = defaultdict(list)
                 for doc_id, ids in zip(rows.column(0).to_pylist(), subwords.encode(rows.column(1).to_pylist())):
-                    ids = np.append(ids, [end_id]).astype("<u4")
+                    ids = np.append(ids, end).astype("<u4")
+                    raw = ids.tobytes()
                     for k, (a, b) in enumerate(cut(len(ids), capacity)):
                         out["doc_id"].append(doc_id)
                         out["piece"].append(k)
                         out["start"].append(a)
                         out["length"].append(b - a)
-                        out["ids_crc32"].append(zlib.crc32(ids[a:b].tobytes()))
+                        out["ids_crc32"].append(zlib.crc32(raw[4 * a : 4 * b]))
                         out["part"].append(part)
                         out["seen"].append(seen[b - a])
                         seen[b - a] += 1

@@ -20,17 +20,26 @@ LETTERS = "a-zA-ZªµºÀ-ÖØ-öø-ÿ"
 CONTROL = bytes([0, 0x1C, 0x1D, 0x1E, 0x1F, 0x85])
 WORDS = re.compile(rf"[{LETTERS}]+|[^\s{LETTERS}]\S*")
 WORDS_WITH_SPACE = re.compile(rf" ?[{LETTERS}]+| ?[^\s{LETTERS}]\S*|\s+(?!\S)|\s+")
-ODD_SPACE = re.compile(r"\s\s|[^\S \n]|^\s|\s$")
+RARE_SPACE = b"\t\x0b\x0c\r\xa0"  # all white space but blanks and line ends
+LINES_AS_BLANKS = bytes(32 if b == 10 else b for b in range(256))
+WORDS_A_CALL = 64
+CALLS = 64  # that the tokenizer gets at once
 CACHED_PIECES = 1_300_000
 
 
-def plain(text: str) -> bool:
-    """Whether the pieces of a text can be told without the vocabulary's own pattern."""
+def plain(text: str) -> bytes | None:
+    """The text as Latin-1, if its pieces can be told without the vocabulary's own pattern."""
     try:
         raw = text.encode("latin-1")
     except UnicodeEncodeError:
-        return False
-    return len(raw.translate(None, CONTROL)) == len(raw) and "<|" not in text
+        return None
+    return raw if len(raw.translate(None, CONTROL)) == len(raw) and b"<|" not in raw else None
+
+
+def odd_space(raw: bytes) -> bool:
+    """Whether white space is anything but single blanks and line ends between words."""
+    blanks = raw.translate(LINES_AS_BLANKS)
+    return len(raw.translate(None, RARE_SPACE)) != len(raw) or b"  " in blanks or blanks[:1] == b" " or blanks[-1:] == b" "
 
 
 class Subwords:
@@ -61,20 +70,21 @@ class Subwords:
 
     def _learn(self, words: list[str]) -> None:
         """Runs of letters, many in one call; the ids of each end (or begin) with a marked id."""
-        lead, joint = self.lead, " "
-        for at in range(0, len(words), 64):
-            group = words[at : at + 64]
-            ids = np.array(
-                self.tokenizer.encode(lead + joint.join(group), add_special_tokens=False).ids, self.kind
-            )
-            cuts = np.flatnonzero(self.edge[ids])
-            if len(cuts) == len(group):
-                cuts = [0, *(cuts + 1).tolist()] if self.drops_space else [*cuts.tolist(), len(ids)]
-                for p, a, b in zip(group, cuts, cuts[1:]):
-                    self.chunks[p] = ids[a:b].tobytes()
-            else:
-                for p in group:
-                    self.chunks[p] = self.direct(lead + p)
+        lead = self.lead
+        step = WORDS_A_CALL * CALLS
+        for start in range(0, len(words), step):
+            groups = [words[at : at + WORDS_A_CALL] for at in range(start, min(start + step, len(words)), WORDS_A_CALL)]
+            coded = self.tokenizer.encode_batch_fast([lead + " ".join(g) for g in groups], add_special_tokens=False)
+            for group, code in zip(groups, coded):
+                ids = np.array(code.ids, self.kind)
+                cuts = np.flatnonzero(self.edge[ids])
+                if len(cuts) == len(group):
+                    raw, width = ids.tobytes(), ids.itemsize
+                    cuts = [0, *((cuts + 1) * width).tolist()] if self.drops_space else [*(cuts * width).tolist(), len(raw)]
+                    self.chunks.update({p: raw[a:b] for p, a, b in zip(group, cuts, cuts[1:])})
+                else:
+                    for p in group:
+                        self.chunks[p] = self.direct(lead + p)
 
     def _by_piece(self, texts: list[str]) -> list[bytes]:
         """Ids of plain texts, piece by piece."""
@@ -89,7 +99,7 @@ class Subwords:
                         words.add(p[n:])
                 elif p not in pieces:
                     rest.add(p)
-        self._learn(sorted(words))
+        self._learn(list(words))
         for p in rest:
             pieces[p] = self.direct(p)
         return [
@@ -103,32 +113,31 @@ class Subwords:
             self.pieces.clear()
             chunks.clear()
         out: list[bytes] = [b""] * len(texts)
-        split: list[tuple[int, str, list[str], list]] = []
+        split: list[tuple[int, str, list[str]]] = []
         slow: list[int] = []
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if not plain(text):
+            raw = plain(text)
+            if raw is None:
                 out[i] = self.direct(text)
             elif self.drops_space:
-                words = text.lower().split()
-                split.append((i, "", words, list(map(chunks.get, words))))
-            elif ODD_SPACE.search(text):
+                split.append((i, "", text.lower().split()))
+            elif odd_space(raw):
                 slow.append(i)
             else:
-                words = text.split(" ")
-                split.append((i, words[0], words[1:], list(map(chunks.get, words[1:]))))
-        new = {w for _, _, words, got in split if None in got for w, g in zip(words, got) if g is None}
-        self._learn(sorted(w for w in new if w.isalpha()))
-        mixed = sorted(w for w in new if not w.isalpha())
+                first, *words = text.split(" ")
+                split.append((i, first, words))
+        new = set().union(*[words for _, _, words in split]) - chunks.keys()
+        self._learn([w for w in new if w.isalpha()])
+        mixed = [w for w in new if not w.isalpha()]
         ids = self._by_piece(
-            [self.lead + w for w in mixed] + [first for _, first, _, _ in split] + [texts[i] for i in slow]
+            [self.lead + w for w in mixed] + [first for _, first, _ in split] + [texts[i] for i in slow]
         )
         chunks.update(zip(mixed, ids))
-        for (i, _, words, got), first in zip(split, ids[len(mixed) :]):
-            if None in got:
-                got = [chunks[w] for w in words]
-            out[i] = first + b"".join(got)
+        known = chunks.__getitem__
+        for (i, _, words), first in zip(split, ids[len(mixed) :]):
+            out[i] = first + b"".join(map(known, words))
         for i, raw in zip(slow, ids[len(mixed) + len(split) :]):
             out[i] = raw
         return [np.frombuffer(raw, self.kind) for raw in out]
