@@ -366,3 +366,45 @@ def test_pipeline(spark, tmp_path):
     packed = corpus_pipeline.STAGES[-1][1](spark, state, str(tmp_path)).toPandas()
     assert packed.groupby("sequence_id").length.sum().max() <= 2048
     assert sorted(set(packed.doc_id)) == sorted(set(seen["mixing"]))
+
+
+CLASHES = "size target key epochs taken slice docs budget score _n _h _id time id digest n own doc spans c_text".split()
+
+
+def test_pipeline_keeps_columns_of_any_name(spark, tmp_path):
+    """Each stage against plain Python, with columns that have the names the stages use."""
+    rows = [(i, t, y) for i, t, y in labelled(spark)]
+    texts = [(i, t) for i, t, _ in rows] + [(400, rows[1][1]), (401, None), (402, ""), (400, rows[1][1]), (None, rows[2][1])]
+    extra = ", ".join(f"`{c}` string" for c in CLASHES)
+    made = [(i, t, None, f"s{k % 2}", None if t is None else len(t), *[f"{c}{k}" for c in CLASHES]) for k, (i, t) in enumerate(texts)]
+    table = spark.createDataFrame(made, f"doc_id long, text string, lang string, source string, n_chars long, {extra}")
+    labels = spark.createDataFrame([(i, y, 0) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    stages = dict(corpus_pipeline.STAGES)
+    extras = {tuple(r[5:]) for r in made}
+    run = lambda name, df: stages[name](spark, df, str(tmp_path))
+    good = run("quality", table).cache()
+    assert good.columns == table.columns and {tuple(r[5:]) for r in good.collect()} <= extras
+    score = {(r.doc_id, r.text): r.score for r in quality.score(table, quality.fit(table, labels, "quality"), ["doc_id", "text"]).collect()}
+    assert sorted((clean(r.doc_id), r.text or "") for r in good.collect()) == sorted(
+        (clean(i), t or "") for i, t in texts if score[i, t] >= corpus_pipeline.ACCEPTED
+    )
+    few = run("near_duplicates", good).cache()
+    assert few.columns == table.columns and {tuple(r[5:]) for r in few.collect()} <= extras
+    assert [r.doc_id for r in few.collect()].count(400) == 0 and few.where("doc_id IS NULL").count() == good.where("doc_id IS NULL").count()
+    cut = run("repeats", few).cache()
+    want = earlier_strings([(r.doc_id, r.text) for r in few.collect()])
+    assert {(i, sha): n for (i, _, _, _, sha), n in want.items()} == collections.Counter(
+        (r.doc_id, hashlib.sha256(r.text.encode()).hexdigest()) for r in cut.collect()
+    )
+    assert cut.columns == table.columns and all(r.n_chars == len(r.text) for r in cut.collect())
+    mixed = run("mixing", cut).cache()
+    assert mixed.columns == table.columns and {tuple(r[5:]) for r in mixed.collect()} <= extras
+    taken = collections.Counter()
+    for r in mixed.collect():
+        taken[r.doc_id, r["size"]] += len(r.text.split())
+    plan = mixing.mix(cut, carry=["size"])
+    assert taken == {(r.doc_id, r.c_size): r.taken for r in plan.collect() if r.taken}
+    packed = run("packing", mixed).toPandas()
+    assert packed.groupby("sequence_id").length.sum().max() <= 2048
+    assert packed.groupby("doc_id", dropna=False).size().sum() == len(packed) and set(packed.doc_id.map(clean)) == {clean(r.doc_id) for r in mixed.collect()}

@@ -88,14 +88,18 @@ def mix(
     carry: list[str] | None = None,
     salt: str = "mix",
 ) -> DataFrame:
-    """Words taken of each document: (doc_id, size, source_size, target, taken, source) and ``carry``."""
-    carry = carry or []
-    sized = docs.select(
-        "doc_id", "source", "text", word_count().alias("size"), *[c for c in carry if c not in ("doc_id", "source", "text")]
-    )
+    """(doc_id, size, source_size, target, taken, source) of every document.
+
+    The columns that ``carry`` names follow as ``c_...``; others are ignored, whatever their
+    names. Of rows with equal draws the smaller id comes first, then the smaller size, then
+    the smaller digest of the text; rows that repeat all of these are alike.
+    """
+    carried = [F.col(f"`{c}`").alias(f"c_{c}") for c in carry or []]
+    kept_names = [f"c_{c}" for c in carry or []]
     key = -F.log(F.lit(1.0) - uniform(salt, "doc_id")) / (lexical_weight() if weight is None else weight)
+    sized = docs.select("doc_id", "source", "text", *carried).withColumn("size", word_count())
     drawn = sized.select(
-        "doc_id", "source", "size", F.coalesce(key, F.lit(0.0)).alias("key"), *[c for c in carry if c not in ("doc_id", "source")]
+        "doc_id", "source", "size", F.coalesce(key, F.lit(0.0)).alias("key"), F.xxhash64("text").alias("digest"), *kept_names
     )
     drawn = kept(drawn, "mixkeys")
     sources = drawn.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"))
@@ -117,12 +121,12 @@ def mix(
     skips = totals.select(
         F.col("source").alias("s"), F.col("slice").alias("t"), F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("skip")
     )
-    inside = W.partitionBy("source", "slice").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("source", "slice").orderBy("key", "doc_id", "size", "digest").rowsBetween(W.unboundedPreceding, -1)
     ranked = placed.select("*", F.coalesce(F.sum("size").over(inside), F.lit(0)).alias("here")).join(
         skips, F.col("source").eqNullSafe(F.col("s")) & (F.col("slice") == F.col("t"))
     )
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("budget") - F.col("skip") - F.col("here")))
     return ranked.select(
         "doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"),
-        "source", *[c for c in carry if c not in ("doc_id", "source", "size")],
+        "source", *kept_names,
     )

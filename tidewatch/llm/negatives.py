@@ -193,7 +193,9 @@ def threshold_join(rows: DataFrame, shards: int, windows: DataFrame, width: int,
     def search(group: pd.DataFrame) -> pd.DataFrame:
         return best_in_windows(group, read, width, limit, k, same)
 
-    dealt = rows.groupBy(F.pmod(F.xxhash64("at", F.lit("shard")), F.lit(shards)).cast("int").alias("shard"))
+    shard = F.pmod(F.xxhash64("at", F.lit("shard")), F.lit(shards)).cast("int")
+    # A number of partitions that is asked for stays: shards are small in bytes and long in work.
+    dealt = rows.withColumn("shard", shard).repartition(shards, "shard").groupBy("shard")
     return kept(dealt.applyInPandas(search, "anchor long, number int, vec_id long, score long"), "found")
 
 

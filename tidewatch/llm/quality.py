@@ -10,9 +10,9 @@ bounded by a parameter; every document is scored where it lies. Because the docu
 is a mean, the score needs one number per word (the sum over its features of embedding times
 class difference) and the number of features, so scoring is a dictionary look-up per word.
 
-A text without words gets the share of label 1 in the sample; with no labels or one class
-only, every score is that share (0.5 without labels). Null labels are left out; an empty
-table gives no rows.
+A text that is null or has no words is scored by the trained bias alone; with no labels or one
+class only, every score is the share of label 1 (0.5 without labels). Null labels are left
+out; an empty table gives no rows.
 """
 
 from __future__ import annotations
