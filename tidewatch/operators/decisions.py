@@ -281,3 +281,41 @@ def retrain_guards(
         .when(F.coalesce("n_labeled", F.lit(0)) < policy.min_labeled, "too_few_labels")
     )
     return states.withColumn("guard", guard)
+
+
+ATTEMPT_SCHEMA = (
+    "model_name string, at timestamp, trigger_reasons array<string>, guard string, streak long, required long, "
+    "error string, promoted boolean, decision string, version int, champion_version int, "
+    "challenger_score double, champion_score double, n_fresh_train long, n_reference long, n_holdout long"
+)
+
+
+def retrain_outcomes(attempts: DataFrame) -> DataFrame:
+    """Add ``status`` and ``reason`` to the facts of retraining attempts.
+
+    The facts are settled in the order in which an attempt meets them: a guard that stopped
+    it, a streak that is still short of ``required``, an error of its run, then the gate's
+    ``decision``. ``trigger`` tells attempts that a monitor asked for from all others.
+    """
+    waits = F.coalesce(F.col("streak") < F.col("required"), F.lit(False))
+    streak = F.format_string("%d of %d consecutive triggered cycles", "streak", "required")
+    stages = [
+        (F.col("guard").isNotNull(), "skipped", F.col("guard")),
+        (waits, "pending", streak),
+        (F.col("error").isNotNull(), "failed", F.col("error")),
+        (F.coalesce("promoted", F.lit(False)), "promoted", F.col("decision")),
+    ]
+    status, reason = F.lit("rejected"), F.col("decision")
+    for applies, name, why in reversed(stages):
+        status = F.when(applies, F.lit(name)).otherwise(status)
+        reason = F.when(applies, why).otherwise(reason)
+    asked = F.coalesce(F.size("trigger_reasons"), F.lit(0)) > 0
+    return attempts.withColumns(
+        {"status": status, "reason": reason, "trigger": F.when(asked, "monitoring").otherwise("manual")}
+    )
+
+
+def outcome_counts(outcomes: DataFrame, by: Sequence[str] = ("model_name",)) -> DataFrame:
+    """Attempts per outcome, as long rows with the sizes of what was trained and held out."""
+    sums = [F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in ("n_fresh_train", "n_reference", "n_holdout")]
+    return outcomes.groupBy(*by, "status", "trigger").agg(F.count(F.lit(1)).alias("n"), *sums)

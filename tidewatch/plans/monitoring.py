@@ -6,7 +6,7 @@ import json
 from datetime import datetime, timedelta
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.contract import CHURN
@@ -14,7 +14,7 @@ from tidewatch.operators import cycles, decisions, drift, predictionlog
 from tidewatch.operators.decisions import MonitorPolicy, RetrainPolicy
 from tidewatch.operators.drift import DriftPolicy
 from tidewatch.plans import lifecycle
-from tidewatch.plans.retraining import RetrainOutcome, run_retraining
+from tidewatch.plans.retraining import record_attempt, run_retraining
 from tidewatch.plans.training import TrainingPolicy
 from tidewatch.sources.tables import CYCLE_SCHEMA, Workspace
 
@@ -114,7 +114,7 @@ def run_cycle(
     facts |= {c: stated[c] for c in ("status", "retrain_reasons", "triggered")}
     facts["evaluated"] = facts["status"] not in ("no_model", "insufficient_data")
 
-    outcome: RetrainOutcome | None = None
+    outcome: Row | None = None
     if facts["triggered"] and allow_retrain:
         fire, streak = True, retrain.persistence
         if debounce:
@@ -132,15 +132,17 @@ def run_cycle(
                 spark, ws, model, at, retrain, training, facts["retrain_reasons"]
             )
         else:
-            outcome = RetrainOutcome(
-                "pending", f"{streak} of {retrain.persistence} consecutive triggered cycles"
-            )
+            outcome = record_attempt(
+                spark, ws, model, at,
+                trigger_reasons=facts["retrain_reasons"], champion_version=current["version"] if current else None,
+                streak=streak, required=retrain.persistence,
+            )
     facts["outcome"] = outcome.status if outcome else None
     detail = {
         "features": features,
-        "retraining": outcome.to_dict() if outcome else None,
+        "retraining": outcome.asDict() if outcome else None,
         **{k: facts.get(k) for k in ("status", "window_size", "drift_share", "retrain_reasons")},
     }
-    facts["payload"] = json.dumps(detail, sort_keys=True)
+    facts["payload"] = json.dumps(detail, sort_keys=True, default=str)
     ws.append(one_row(facts), "monitor_cycles")
     return facts | {"retraining": outcome, "features": features}

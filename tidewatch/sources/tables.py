@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.contract import CHURN, Contract
+from tidewatch.operators.decisions import ATTEMPT_SCHEMA, retrain_outcomes
 from tidewatch.operators.predictionlog import FEEDBACK_SCHEMA, LOG_SCHEMA, conflicting_ids, latest_labels
 from tidewatch.operators.registry import ALIAS_SCHEMA, TAG_SCHEMA, VERSION_SCHEMA
 from tidewatch.sources.synthetic import DriftProfile, generate_customers
@@ -249,6 +250,10 @@ class Workspace:
     def cycles(self, spark: SparkSession) -> DataFrame:
         return self.read(spark, "monitor_cycles", CYCLE_SCHEMA)
 
+    def retrainings(self, spark: SparkSession) -> DataFrame:
+        """Every attempt to retrain with its outcome."""
+        return retrain_outcomes(self.read(spark, "retrainings", ATTEMPT_SCHEMA))
+
     def runs(self, spark: SparkSession) -> DataFrame:
         return self.read(spark, "training_runs", RUN_SCHEMA)
 

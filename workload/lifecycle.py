@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import decisions, registry, timeseries
 from tidewatch.operators.cycles import cycle_payload, latest_cycle
-from workload.registry import query, tidy
+from workload.registry import ORACLES, query, tidy
 from workload.views import frame, frames, with_clause
 
 GATE = with_clause("gate_metrics")
@@ -232,3 +232,31 @@ def latest_gauges(spark: SparkSession, sf: str) -> DataFrame:
         cycles, ["window_size", "drift_share", "live_roc_auc", "champion_version"], "model_name", "cycle_ts"
     )
     return tidy(timeseries.latest_gauges(long, ["model_name"], "cycle_ts"))
+
+
+@query(
+    "retrain_outcomes",
+    f"""WITH streaks AS ({ORACLES['debounce']}), o AS (
+  {CYCLES} SELECT cycles.model_name, window_size, streak,
+    CASE WHEN model_version IS NULL THEN 'no_champion' WHEN run_id IS NULL THEN 'champion_without_run' WHEN window_size < 2 THEN 'too_few_labels' END AS guard,
+    CASE WHEN error_seen = 1 THEN 'error' END AS error, live_auc >= 0.8 AS promoted
+  FROM cycles JOIN streaks USING (model_name, cycle_ts)),
+s AS (SELECT *, CASE WHEN guard IS NOT NULL THEN 'skipped' WHEN streak < 2 THEN 'pending' WHEN error IS NOT NULL THEN 'failed'
+  WHEN promoted THEN 'promoted' ELSE 'rejected' END AS status,
+  CASE WHEN guard IS NOT NULL THEN guard WHEN streak < 2 THEN CAST(streak AS VARCHAR) || ' of 2 consecutive triggered cycles'
+  WHEN error IS NOT NULL THEN error ELSE 'by score' END AS reason FROM o)
+SELECT model_name, status, reason, count(*) AS n, CAST(sum(window_size) AS BIGINT) AS n_holdout FROM s GROUP BY 1, 2, 3""",
+)
+def retrain_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """What came of an attempt at every cycle, counted by model, status and reason."""
+    evaluated = statuses(spark, sf).withColumn("evaluated", ~F.col("status").isin("no_model", "insufficient_data"))
+    guards = {"no_champion": "model_version IS NULL", "champion_without_run": "run_id IS NULL", "too_few_labels": "window_size < 2"}
+    guard = F.coalesce(*[F.when(F.expr(test), F.lit(name)) for name, test in guards.items()])
+    attempts = decisions.debounce(evaluated, 2, evaluated="evaluated").select(
+        "model_name", guard.alias("guard"), "streak", F.lit(2).alias("required"),
+        F.col("retrain_reasons").alias("trigger_reasons"), F.when(F.col("error_seen") == 1, "error").alias("error"),
+        (F.col("live_auc") >= 0.8).alias("promoted"), F.lit("by score").alias("decision"),
+        F.lit(0).alias("n_fresh_train"), F.lit(0).alias("n_reference"), F.col("window_size").alias("n_holdout"),
+    )
+    counts = decisions.outcome_counts(decisions.retrain_outcomes(attempts), ["model_name", "reason"])
+    return counts.groupBy("model_name", "status", "reason").agg(F.sum("n").alias("n"), F.sum("n_holdout").alias("n_holdout"))
