@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tidewatch", master: str | None = None, **conf: str) -> SparkSession:
@@ -36,3 +36,10 @@ def work_dir(spark: SparkSession, prefix: str) -> str:
     if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return tempfile.mkdtemp(prefix=f"{prefix}-")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in a work folder, read back: the plan that made them ends here."""
+    path = f"{work_dir(df.sparkSession, name)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
