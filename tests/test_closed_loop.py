@@ -1,6 +1,5 @@
 """Train, serve, drift, retrain, promote: the whole loop on synthetic customers."""
 
-import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -88,7 +87,6 @@ def test_unknown_models_are_errors(spark, trained):
         lifecycle.roll_back(spark, ws, MODEL, START)
 
 
-@pytest.mark.skipif(not os.environ.get("TIDEWATCH_SLOW"), reason="minutes long; set TIDEWATCH_SLOW=1")
 def test_loop_detects_drift_debounces_retrains_and_promotes(spark, trained):
     ws, _ = trained
     empty = monitoring.run_cycle(spark, ws, MODEL, START + timedelta(hours=1), MONITOR)
