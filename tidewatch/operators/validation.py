@@ -18,8 +18,8 @@ class ContractViolation(ValueError):
 
     def __init__(self, errors: list) -> None:
         self.errors = errors
-        first = "; ".join(f"[{e['column']}] {e['message']}" for e in errors[:10])
-        super().__init__(f"{len(errors)} contract violation(s): {first}")
+        listed = "; ".join(f"[{e['column']}] {e['message']}" for e in errors)
+        super().__init__(f"{len(errors)} contract violation(s): {listed}")
 
 
 def _count(condition: Column) -> Column:
