@@ -32,7 +32,6 @@ PREFIXES = range(3, 11)
 LEAST_DOCUMENTS = 5
 LEAST_WEIGHT = 2.5
 LEAST_RATIO = 20.0  # likelihood ratio (G) a term must reach
-TERMS = 20_000  # strongest terms that are kept
 #: Characters that look like, or stand for, a plain letter.
 LOOKALIKES = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k", "ӏ": "l",
@@ -88,8 +87,6 @@ def weigh(counts: DataFrame, positives: int, negatives: int) -> DataFrame:
     return (
         counts.select("term", weight.alias("weight"), ratio.alias("ratio"), "p")
         .where((F.col("weight") >= LEAST_WEIGHT) & (F.col("ratio") >= LEAST_RATIO) & (F.col("p") >= LEAST_DOCUMENTS))
-        .orderBy(F.desc("ratio"), "term")
-        .limit(TERMS)
     )
 
 
@@ -207,7 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     tallies = texts.mapInArrow(count, "term string, p long, n long").groupBy("term").agg(
         F.sum("p").alias("p"), F.sum("n").alias("n")
     )
-    rows = weigh(tallies, positives, negatives).collect()  # at most TERMS rows
+    # Bounded: terms in five or more toxic documents of the sample.
+    rows = sorted(weigh(tallies, positives, negatives).collect(), key=lambda r: (-r["ratio"], r["term"]))
     terms = thin([(r["term"], r["weight"], r["p"]) for r in rows])
 
     def phrases(batches):
@@ -239,7 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
             )
 
     # Bounded: three numbers for each document of the sample.
-    points = texts.mapInArrow(place, "a double, b double, y int").orderBy("y", "a", "b").collect()
+    points = sorted(texts.mapInArrow(place, "a double, b double, y int").collect(), key=lambda r: (r["y"], r["a"], r["b"]))
     x = np.array([[r["a"], r["b"]] for r in points])
     return Model(terms, exceptions, logistic(x, np.array([r["y"] for r in points])).tolist(), None)
 
