@@ -247,6 +247,9 @@ def test_repeats(spark, docs, nothing, monkeypatch):
         monkeypatch.setattr(repeats, "MOST", most)
         got = repeats.remove_repeats(table).collect()
         assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == earlier_strings(rows)
+    monkeypatch.setattr(repeats, "INDEXED", 1)  # every slice has an index of its own
+    got = repeats.remove_repeats(table).collect()
+    assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == earlier_strings(rows)
     assert repeats.remove_repeats(nothing).count() == 0
 
 

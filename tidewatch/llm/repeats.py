@@ -4,9 +4,10 @@ Every document is sampled at anchors: positions whose hash of 32 bytes is the le
 stretch, so that each string of 100 bytes holds an anchor that depends on that string alone.
 An anchor's context are the bytes within reach of a 100-byte string around it. Contexts that
 are equal need no look at the text: all but the first are repeats as a whole. Where an
-anchor has different contexts, one text of each is fetched, and a run-length index over them
-finds which strings start earlier. Anchors with very many contexts are dealt out by the
-hashes of their strings instead. Marks are joined per document, merged, and cut out.
+anchor has different contexts, one text of each is fetched, and run-length indexes over
+slices of them find which strings start earlier. An anchor with few contexts is one slice; of
+one with many, only the strings that no earlier context of their slice holds meet those of
+the other slices, by their hashes. Marks are joined per document, merged, and cut out.
 
 Hashes have 64 bits and are compared together with a second hash of the context. A document
 is an id with a hash of the text: rows that repeat an id with another text are documents of
@@ -35,7 +36,7 @@ STRETCH = LENGTH - GRAM + 1
 LEFT = LENGTH - GRAM  # bytes of a context before its anchor
 CHUNK = 1 << 20  # bytes hashed together
 INDEXED = 1 << 18  # bytes of an index
-MOST = 1024  # contexts of an anchor that one index takes
+MOST = 1024  # contexts in a slice of an anchor, in expectation
 NO_ID = -(1 << 63)
 PRIME = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(PRIME, -1, 1 << 64)
@@ -181,21 +182,26 @@ def fetched(asked: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def indexed(contexts: DataFrame) -> DataFrame:
-    """Marks (doc, own, start, end) of strings that start earlier in another context of the same anchor."""
+    """What the indexes of all slices of contexts tell, as rows of two kinds.
 
-    def resolve(docs, hashes, starts, texts):
+    With a null ``h``, (doc, own, start, end) is a mark: strings that start earlier in another
+    context of the slice. The other rows are the strings (gram, h, doc, own, start) without a
+    mark, of anchors that have more than one slice.
+    """
+
+    def resolve(rows):
+        grams, docs, hashes, places, lefts, sliced, texts = (list(c) for c in zip(*rows))
         sizes = np.array([len(t) for t in texts])
         begins = np.cumsum(sizes + 1) - sizes - 1
-        text = np.full(int((sizes + 1).sum()), 0, np.int64)
-        joined = np.frombuffer(b"\x00".join(texts) + b"\x00", np.uint8)
-        text[:] = joined
-        ends = begins + sizes
-        text[ends] = 256 + np.arange(len(texts))  # all different
+        raw = np.frombuffer(b"\x00".join(texts) + b"\x00", np.uint8)
+        text = raw.astype(np.int64)
+        text[begins + sizes] = 256 + np.arange(len(texts))  # all different
         index = RunIndex(text, LENGTH + LEFT + 8)
-        docs, hashes = np.array(docs, np.int64), np.array(hashes, np.int64)
+        grams, docs, hashes = (np.array(c, np.int64) for c in (grams, docs, hashes))
         ids, doc_rank = np.unique(docs, return_inverse=True)
         own = np.repeat(np.arange(len(texts)), sizes + 1)
-        offset = np.arange(len(text)) - begins[own] + np.array(starts, np.int64)[own]
+        inside = np.arange(len(text)) - begins[own]
+        offset = inside + (np.array(places, np.int64) - np.array(lefts, np.int64))[own]
         order = np.lexsort((hashes, docs))
         other = np.r_[True, (docs[order][1:] != docs[order][:-1]) | (hashes[order][1:] != hashes[order][:-1])]
         if other.sum() == len(ids):  # no id has two texts: one number gives the order
@@ -207,67 +213,53 @@ def indexed(contexts: DataFrame) -> DataFrame:
             hit = index.earlier(doc_rank.astype(np.int64)[own], LENGTH) | repeated(member[own], group, offset)
         edge = np.diff(np.r_[0, hit.astype(np.int8), 0])
         a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
+        first = np.flatnonzero(np.array(sliced)[own] & ~hit & (inside <= sizes[own] - LENGTH))
+        strings = np.zeros(0, np.uint64)
+        if len(first):
+            strings = Hasher(raw, powers(PRIME, len(raw)), powers(INVERSE, len(raw))).between(first, first + LENGTH)
+        at, known = np.r_[a, first], np.r_[np.ones(len(a), bool), np.zeros(len(first), bool)]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(docs[own[a]]),
-                pa.array(hashes[own[a]]),
-                pa.array(offset[a].astype(np.int32)),
-                pa.array((offset[b] + LENGTH).astype(np.int32)),
+                pa.array(grams[own[at]]),
+                pa.array(np.r_[np.zeros(len(a), np.int64), strings.view(np.int64)], mask=known),
+                pa.array(docs[own[at]]),
+                pa.array(hashes[own[at]]),
+                pa.array(offset[at].astype(np.int32)),
+                pa.array((offset[np.r_[b, first]] + LENGTH).astype(np.int32)),
             ],
-            names=["doc", "own", "start", "end"],
+            names=["gram", "h", "doc", "own", "start", "end"],
         )
 
     def run(batches):
-        docs, hashes, starts, texts, held, last = [], [], [], [], 0, None
-        names = ("gram", "doc", "own", "pos", "left", "bytes")
-        for batch in batches:
-            for gram, doc, own, pos, left, raw in zip(*(batch.column(c).to_pylist() for c in names)):
-                if held >= INDEXED and gram != last:
-                    yield resolve(docs, hashes, starts, texts)
-                    docs, hashes, starts, texts, held = [], [], [], [], 0
-                docs.append(doc)
-                hashes.append(own)
-                starts.append(pos - left)
-                texts.append(raw)
-                held += len(raw) + 1
-                last = gram
-        if texts:
-            yield resolve(docs, hashes, starts, texts)
-
-    dealt = contexts.select("gram", "doc", "own", "pos", "left", "bytes").repartition(partitions_for(contexts.sparkSession), "gram")
-    return dealt.sortWithinPartitions("gram").mapInArrow(run, "doc long, own long, start int, end int")
-
-
-def dealt_out(contexts: DataFrame) -> DataFrame:
-    """The same marks for anchors with very many contexts: strings meet by their hash."""
-
-    def spell(batches):
-        up, down = powers(PRIME, 512), powers(INVERSE, 512)
+        rows, held, last = [], 0, None
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part, out = batch.slice(at, 1024), []
-                names = ("gram", "doc", "own", "pos", "left", "bytes")
-                for gram, doc, own, pos, left, raw in zip(*(part.column(c).to_pylist() for c in names)):
-                    i = np.arange(len(raw) - LENGTH + 1)
-                    h = Hasher(np.frombuffer(raw, np.uint8), up, down).between(i, i + LENGTH)
-                    out.append((np.full(len(i), gram), h.view(np.int64), np.full(len(i), doc), np.full(len(i), own), pos - left + i))
-                columns = [np.concatenate([o[c] for o in out]) for c in range(5)] if out else [np.zeros(0, np.int64)] * 5
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c.astype(np.int64)) for c in columns], names=["gram", "h", "doc", "own", "start"]
-                )
-
-    strings = contexts.select("gram", "doc", "own", "pos", "left", "bytes").mapInArrow(
-        spell, "gram long, h long, doc long, own long, start long"
-    )
+            for slice_, *row in zip(*(batch.column(c).to_pylist() for c in ("slice", *names))):
+                if held >= INDEXED and (row[0], slice_) != last:
+                    yield resolve(rows)
+                    rows, held = [], 0
+                rows.append(row)
+                held += len(row[-1]) + 1
+                last = row[0], slice_
+        if rows:
+            yield resolve(rows)
+
+    names = ("gram", "doc", "own", "pos", "left", "sliced", "bytes")
+    slices = F.ceil(F.col("m") / MOST)
+    dealt = contexts.select(
+        "*", (slices > 1).alias("sliced"), F.pmod(F.xxhash64("doc", "own", "pos"), slices).alias("slice")
+    ).select("slice", *names)
+    near = dealt.repartition(partitions_for(contexts.sparkSession), "gram", "slice").sortWithinPartitions("gram", "slice")
+    return near.mapInArrow(run, "gram long, h long, doc long, own long, start int, end int")
+
+
+def across(strings: DataFrame) -> DataFrame:
+    """Marks of strings that start earlier in another slice of their anchor; strings meet by their hash."""
     # A string's least document, and its least place in each document, are combined before the shuffle.
     least = strings.groupBy("gram", "h").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")).where("d1 > d0")
     inside = strings.groupBy("gram", "h", "doc", "own").agg(F.min("start").alias("s0"), F.max("start").alias("s1")).where("s1 > s0")
-    later = strings.join(least, ["gram", "h"]).where("doc > d0").select("doc", "own", "start")
-    again = strings.join(inside, ["gram", "h", "doc", "own"]).where("start > s0").select("doc", "own", "start")
-    found = later.unionByName(again)
-    return found.select(
-        "doc", "own", F.col("start").cast("int").alias("start"), (F.col("start") + LENGTH).cast("int").alias("end")
-    )
+    later = strings.join(least, ["gram", "h"]).where("doc > d0")
+    again = strings.join(inside, ["gram", "h", "doc", "own"]).where("start > s0")
+    return later.select("doc", "own", "start", "end").unionByName(again.select("doc", "own", "start", "end"))
 
 
 def marks(docs: DataFrame) -> DataFrame:
@@ -293,7 +285,9 @@ def marks(docs: DataFrame) -> DataFrame:
     open_ = decided.where("NOT later").select("gram", "doc", "own", "pos", "reach")
     many = open_.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     contexts = kept(fetched(open_.join(many, "gram"), docs), "contexts")
-    return whole.unionByName(indexed(contexts.where(F.col("m") <= MOST))).unionByName(dealt_out(contexts.where(F.col("m") > MOST)))
+    told = kept(indexed(contexts), "indexed")
+    within = told.where("h IS NULL").select("doc", "own", "start", "end")
+    return whole.unionByName(within).unionByName(across(told.where("h IS NOT NULL")))
 
 
 def merged(spans: pa.ListArray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
