@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.operators.predictionlog import most_recent
+from tidewatch.streaming.state import use_keyed_state
 
 
 def with_event_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -32,6 +33,7 @@ def join_labels(
     watermark passes. Labels of any age also go to the feedback table, from which
     ``attach_feedback`` repairs what this join could no longer see.
     """
+    use_keyed_state(predictions.sparkSession)
     p = with_event_time(predictions, "created_at", delay).alias("p")
     f = with_event_time(labels, "feedback_at", delay).alias("f")
     condition = F.expr(

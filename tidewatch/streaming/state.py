@@ -14,10 +14,25 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+SETTINGS = {
+    PROVIDER: ROCKSDB,
+    # A restart loads the files of the store; it does not repeat every change since a snapshot.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "false",
+    # All stores of an executor share one bound, however many partitions it holds.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    # A join keeps one store per partition instead of four.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+}
+
+
 def use_keyed_state(spark: SparkSession) -> None:
-    """Choose the state store that value state needs, for streams that are started afterwards."""
-    if spark.conf.get(PROVIDER, None) != ROCKSDB:
-        spark.conf.set(PROVIDER, ROCKSDB)
+    """State on disk with bounded memory, for streams that are started afterwards.
+
+    Value state needs this store, and the state of a join would otherwise fill the heap.
+    """
+    for key, value in SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
 
 
 class Streak(StatefulProcessor):

@@ -97,6 +97,7 @@ def stream_label_join(spark: SparkSession, sf: str) -> DataFrame:
     """The inner part of the label join; the outer part waits for the watermark."""
     feed = feed_of(spark, sf, "events", "ts")
     predictions, labels = (view_of(spark, v, events=feed) for v in ("prediction_log", "feedback"))
+    predictions = predictions.select("prediction_id", "created_at", "model_version")  # state holds these alone
     joined = run_to_end(spark, events.join_labels(predictions, labels, "2 days", "'1' DAY", "inner"), feed)
     return joined.select(
         "prediction_id", "model_version", "actual", F.col("feedback_at").cast("timestamp_ntz").alias("feedback_at")
