@@ -2,6 +2,10 @@
 
 from datetime import datetime, timedelta
 
+import pandas as pd
+from pyspark.sql import functions as F
+
+from tidewatch.operators import decisions
 from tidewatch.streaming import events, state
 
 T0 = datetime(2026, 1, 1)
@@ -26,3 +30,23 @@ def test_the_state_of_a_label_join_is_on_disk(spark, tmp_path):
     finally:
         for key, value in held.items():
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def test_many_models_share_a_call_and_their_runs_stay_apart(spark, tmp_path, monkeypatch):
+    schema = "model_name string, cycle_ts timestamp, triggered boolean"
+    rows = [
+        (None if m == 7 else f"m{m}", T0 + timedelta(days=d), (m * 31 + d * (m % 5 + 1)) % 7 < 4)
+        for d in range(12) for m in range(3000)
+    ]
+    table = spark.createDataFrame(pd.DataFrame(rows, columns=["model_name", "cycle_ts", "triggered"]), schema).persist()
+    for part in range(3):
+        days = F.dayofmonth("cycle_ts").between(4 * part + 1, 4 * part + 4)
+        table.where(days).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        run = events.write_batches(state.debounce_stream(stream, 2), f"{tmp_path}/out", f"{tmp_path}/cp")
+        run.awaitTermination()
+    assert run.lastProgress["stateOperators"][0]["numRowsTotal"] < 3000  # values, not models
+    got = spark.read.parquet(f"{tmp_path}/out").drop("batch_id")
+    want = decisions.debounce(table, 2).select(*got.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert got.where("fire").count() > 0 and got.where("model_name IS NULL").count() == 12

@@ -35,27 +35,46 @@ def use_keyed_state(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+BUCKETS = 1024  # groups of models that share one state value and one call
+
+
 class Streak(StatefulProcessor):
-    """One number per key: how many counted hits the open run has."""
+    """One number per model: how many counted hits its open run has.
+
+    A key is a bucket of models, whose rows of a batch are taken together: a call for each
+    model would cost more than its rows. Models without an open run are not kept.
+    """
 
     def __init__(self, by: str, ts: str, required: int):
         self.by, self.ts, self.required = by, ts, required
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getValueState("open", "n long")
+        self.open = handle.getValueState("open", "models array<string>, n array<long>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        table = pd.concat(list(rows)).sort_values(self.ts, kind="stable")
+        table = pd.concat(list(rows), ignore_index=True)
+        code, models = pd.factorize(table[self.by], use_na_sentinel=False)
+        time, _ = pd.factorize(table[self.ts], sort=True)
+        order = np.lexsort((np.where(time < 0, len(time), time), code))  # stable, no time last
+        table, code = table.take(order), code[order]
         hit, stop = table["hit"].to_numpy(bool), table["stop"].to_numpy(bool)
-        entering = self.open.get()[0] if self.open.exists() else 0
-        hits = np.cumsum(hit)
-        # Hits up to the last stop before a row; the run that entered the batch has none.
-        ended = np.maximum.accumulate(np.where(stop, hits, -entering))
+        first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])  # of each model, in the order of its code
+        last = np.r_[first[1:], len(code)] - 1
+        held = dict(zip(*self.open.get(), strict=True)) if self.open.exists() else {}
+        names = [None if pd.isna(m) else m for m in models]
+        entering = np.array([held.get(m, 0) for m in names], np.int64)
+        # Hits since the model's first row in the batch, and those up to the last stop before
+        # a row; the run that entered the batch has none. Both grow within a model alone.
+        hits = np.cumsum(hit) - (np.cumsum(hit)[first] - hit[first])[code]
+        lift = (np.arange(len(first)) * (len(code) + entering.max() + 1))[code]
+        ended = np.maximum.accumulate(np.where(stop, hits, -entering[code]) + lift) - lift
         length = hits - ended
-        self.open.update((int(length[-1]),))
+        held.update(zip(names, length[last].tolist(), strict=True))
+        left = {m: n for m, n in held.items() if n}
+        self.open.update((list(left), list(left.values())))
         place = np.where(hit, (length - 1) % self.required + 1, 0)
         yield pd.DataFrame({
-            self.by: key[0], self.ts: table[self.ts].to_numpy(),
+            self.by: table[self.by].to_numpy(), self.ts: table[self.ts].to_numpy(),
             "streak": place.astype(np.int32), "fire": hit & (length % self.required == 0),
         })
 
@@ -74,7 +93,7 @@ def debounce_stream(
 ) -> DataFrame:
     """(by, ts, streak, fire) for a stream of cycles; the rules are those of ``debounce``.
 
-    State is one counter per model. Cycles of a micro-batch are taken in time order; they
+    State is one counter per model, held by buckets of models. Cycles of a micro-batch are taken in time order; they
     are expected to arrive in order across batches, as a monitor writes them.
     """
     use_keyed_state(cycles.sparkSession)
@@ -82,9 +101,12 @@ def debounce_stream(
     if allow:
         hit = hit & F.coalesce(F.col(allow), F.lit(False))
     counted = F.coalesce(F.col(evaluated), F.lit(False)) if evaluated else F.lit(True)
-    marked = cycles.select(by, ts, (counted & hit).alias("hit"), (counted & ~hit).alias("stop"))
+    bucket = F.pmod(F.xxhash64(F.col(by).cast("string")), F.lit(BUCKETS)).cast("int").alias("_bucket")
+    marked = cycles.select(
+        bucket, F.col(by).cast("string").alias(by), ts, (counted & hit).alias("hit"), (counted & ~hit).alias("stop")
+    )
     kind = cycles.schema[ts].dataType.simpleString()
-    return marked.groupBy(by).transformWithStateInPandas(
+    return marked.groupBy("_bucket").transformWithStateInPandas(
         Streak(by, ts, max(1, required)),
         f"{by} string, {ts} {kind}, streak int, fire boolean",
         "Append",

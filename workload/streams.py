@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.operators import timeseries
-from tidewatch.session import work_dir
+from tidewatch.session import work_dir, written
 from tidewatch.sources.tables import Workspace
 from tidewatch.streaming import drift as stream_drift
 from tidewatch.streaming import events, logsink, state
@@ -141,7 +141,8 @@ def stream_windowed_drift(spark: SparkSession, sf: str) -> DataFrame:
 def stream_debounce(spark: SparkSession, sf: str) -> DataFrame:
     """Stateful debounce of the evaluated cycles, which arrive in the order of time."""
     evaluated = statuses(spark, sf).where("status NOT IN ('no_model', 'insufficient_data')")
-    feed = Feed(evaluated.select("model_name", "cycle_ts", "triggered"), "cycle_ts")
+    cycles = written(evaluated.select("model_name", "cycle_ts", "triggered"), "cycles")  # every part reads them
+    feed = Feed(cycles, "cycle_ts")
     fired = run_to_end(spark, state.debounce_stream(feed.stream, 2), feed)
     return fired.select("model_name", "cycle_ts", F.col("streak").cast("long"), "fire")
 
