@@ -54,8 +54,12 @@ def _average_precision() -> Column:
     return F.when(both, steps).otherwise(F.lit(NAN))
 
 
-def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
-    ranked = running_totals(score_counts(df, score, label, by), "p", ["pos", "neg"], by)
+def roc_auc(
+    df: DataFrame, score: str, label: str, by: Sequence[str] = (), like: DataFrame | None = None
+) -> DataFrame:
+    """ROC-AUC per group. ``like`` is a smaller table with scores of about the same range."""
+    order = score_counts(like, score, label) if like is not None else None
+    ranked = running_totals(score_counts(df, score, label, by), "p", ["pos", "neg"], by, like=order)
     return ranked.groupBy(*by).agg(_roc_auc().alias("roc_auc"))
 
 

@@ -26,16 +26,21 @@ def default_slices(df: DataFrame) -> int:
     return 1 << min(14, max(7, ceil(log2(4 * partitions))))
 
 
-def with_slices(df: DataFrame, order: str, totals: Sequence[str], slices: int) -> DataFrame:
+def with_slices(
+    df: DataFrame, order: str, totals: Sequence[str], slices: int, like: DataFrame | None = None
+) -> DataFrame:
     """Add ``_slice``: which of ``slices`` equally filled ranges of ``order`` a row is in.
 
     The cut points come from one scalar subquery over the same input. It also sums
     ``totals``, which keeps its column list equal to the main branch, so that Spark reuses
     the shuffle below instead of computing it again. The slice is found by a binary search
     spelled out as log2(slices) projections, which stay inside generated code.
+
+    ``like`` gives the cut points instead where ``df`` is far larger. They decide how evenly
+    rows are dealt, not what the sums are.
     """
     points = ", ".join(f"{i / slices}D" for i in range(1, slices))
-    cuts = df.agg(
+    cuts = (df if like is None else like).agg(
         F.struct(
             F.expr(
                 f"percentile_approx(`{order}`, array({points}), {max(10000, 20 * slices)})"
@@ -91,14 +96,15 @@ def running_totals(
     totals: Sequence[str],
     by: Sequence[str] = (),
     slices: int | None = None,
+    like: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``<t>_before`` (sum over smaller ``order`` values) and ``<t>_all`` per group.
 
     ``df`` must hold one row per (by, order) pair, i.e. be aggregated to distinct values
     first, which also removes any skew in how often a value occurs. The plan is the same
-    for every size.
+    for every size. ``like`` is for :func:`with_slices`.
     """
-    sliced = with_slices(df, order, totals, slices or default_slices(df))
+    sliced = with_slices(df, order, totals, slices or default_slices(df), like)
     return sum_by_slices(sliced, [order], totals, by)
 
 
@@ -109,15 +115,16 @@ def hash_positions(
     name: str,
     by: Sequence[str] = (),
     slices: int | None = None,
+    draw: str | None = None,
 ) -> DataFrame:
     """Add a 1-based rank in the random order given by ``salt``; exact and gap-free.
 
     The draw is uniform by construction, so equal ranges of it are equal slices and no
-    pass over the data is needed to find them.
+    pass over the data is needed to find them. ``draw`` names a column that holds one already.
     """
     slices = slices or default_slices(df)
-    columns = df.columns
-    drawn = df.select("*", uniform(salt, *key).alias("_u"), F.lit(1).alias("_one")).withColumn(
+    columns = [c for c in df.columns if c != draw]
+    drawn = df.select(*columns, (F.col(draw) if draw else uniform(salt, *key)).alias("_u"), F.lit(1).alias("_one")).withColumn(
         "_slice", F.floor(F.col("_u") * slices).cast("int")
     )
     ranked = sum_by_slices(drawn, ["_u", *key], ["_one"], by)
