@@ -5,8 +5,10 @@ from datetime import datetime, timedelta
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tidewatch.operators import decisions
+from tidewatch.operators import decisions, predictionlog
+from tidewatch.sources.tables import LOG_COLUMNS
 from tidewatch.streaming import events, state
+from workload import streams
 
 T0 = datetime(2026, 1, 1)
 
@@ -50,3 +52,26 @@ def test_many_models_share_a_call_and_their_runs_stay_apart(spark, tmp_path, mon
     want = decisions.debounce(table, 2).select(*got.columns)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     assert got.where("fire").count() > 0 and got.where("model_name IS NULL").count() == 12
+
+
+def test_the_labeled_log_holds_the_columns_of_the_log_in_its_state(spark, tmp_path, monkeypatch):
+    kinds = ["purchase", "error", "view", "signup"]
+    rows = [(i, T0.replace(year=2024) + timedelta(hours=9 * i), i, kinds[i % 4], 5.0 * i, f'{{"k": {i * 7 % 100}}}') for i in range(40)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
+    seen = []
+    join = events.join_labels
+
+    def watched(predictions, labels, *args):
+        seen.append(predictions.columns)
+        return join(predictions, labels, *args)
+
+    monkeypatch.setattr(streams.events, "join_labels", watched)
+    found = streams.stream_labeled_log(spark, str(tmp_path))
+    assert seen[0] == LOG_COLUMNS and spark.conf.get(state.PROVIDER) == state.ROCKSDB
+    log, feedback = streams.frames(spark, str(tmp_path), "prediction_log", "feedback")
+    want = predictionlog.attach_feedback(log, feedback).select(
+        "prediction_id", "model_version", "churn_prediction", F.coalesce("actual", F.lit(-1)).alias("actual"),
+        "feedback_at", F.to_date("created_at").alias("created_date"),
+    )
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect())) and found.count() == 40

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.operators import timeseries
 from tidewatch.session import work_dir, written
-from tidewatch.sources.tables import Workspace
+from tidewatch.sources.tables import LOG_COLUMNS, Workspace
 from tidewatch.streaming import drift as stream_drift
 from tidewatch.streaming import events, logsink, state
 from workload.distributions import NUMERIC
@@ -184,6 +184,8 @@ def stream_labeled_log(spark: SparkSession, sf: str) -> DataFrame:
     A last event far in the future lets the unmatched predictions out.
     """
     predictions, feedback = frames(spark, sf, "prediction_log", "feedback")
+    predictions = predictions.select(*LOG_COLUMNS)  # what the labeled table keeps, and the state of the join
+    feedback = written(feedback, "feedback")  # three scans of the events, which every part reads
     later = lambda column: (F.max(column) + F.expr("INTERVAL '100' DAY")).alias(column)
     end = F.lit(END).alias("prediction_id")
     p = Feed(predictions, "created_at", _only(predictions, predictions.agg(later("created_at")).select("*", end)))
