@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import kept, open_file, partitions_for, text_or_empty, write_whole
-from tidewatch.llm.subwords import Subwords
+from tidewatch.llm.subwords import shared_subwords
 from tidewatch.session import work_dir
 
 MAGIC = b"BITIDS01"
@@ -174,7 +174,7 @@ def write_ids(
             end = None
             for batch in batches:
                 if subwords is None:
-                    subwords = Subwords(path, drops_space)
+                    subwords = shared_subwords(path, drops_space)
                     end = np.array([end_id], np.uint32 if end_id > np.iinfo(subwords.kind).max else subwords.kind)
                     writer = Writer(bits_for(max(subwords.size, end_id + 1)))
                 for at in range(0, batch.num_rows, TEXTS):

@@ -10,6 +10,10 @@ tokenizer whole.
 from __future__ import annotations
 
 import re
+import string
+from collections import defaultdict
+from functools import lru_cache
+from itertools import chain, count, islice
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -22,8 +26,9 @@ WORDS = re.compile(rf"[{LETTERS}]+|[^\s{LETTERS}]\S*")
 WORDS_WITH_SPACE = re.compile(rf" ?[{LETTERS}]+| ?[^\s{LETTERS}]\S*|\s+(?!\S)|\s+")
 RARE_SPACE = b"\t\x0b\x0c\r\xa0"  # all white space but blanks and line ends
 LINES_AS_BLANKS = bytes(32 if b == 10 else b for b in range(256))
-WORDS_A_CALL = 64
-CALLS = 64  # that the tokenizer gets at once
+MARKS = string.punctuation
+WORDS_A_CALL = 256
+CALLS = 16  # that the tokenizer gets at once
 CACHED_PIECES = 1_300_000
 
 
@@ -46,7 +51,9 @@ class Subwords:
     """Ids of texts, the same as ``Tokenizer.encode(text, add_special_tokens=False)``.
 
     ``drops_space`` says that the vocabulary lower-cases words, drops white space and marks
-    the last id of a word; otherwise a space belongs to the word after it.
+    the last id of a word; otherwise a space belongs to the word after it. Every word (what
+    stands between spaces) gets a number when it is first seen, so a text costs one look-up a
+    word; the ids of all words lie in one array and are gathered by these numbers.
     """
 
     def __init__(self, path: str, drops_space: bool, cached: int = CACHED_PIECES):
@@ -58,19 +65,45 @@ class Subwords:
         self.lead = "" if drops_space else " "
         self.pattern = WORDS if drops_space else WORDS_WITH_SPACE
         self.cached = cached
-        self.chunks: dict[str, bytes] = {}  # what stands between spaces, with a space before it
-        self.pieces: dict[str, bytes] = {}  # everything else
         self.edge = np.zeros(self.size, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.edge[i] = token.endswith("</w>") if drops_space else token.startswith("Ġ")
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[str, int] = defaultdict(count().__next__)  # of what stands between spaces, with a space before it
+        self.pieces: dict[str, bytes] = {}  # everything else
+        self.ids = np.zeros(1 << 16, self.kind)
+        self.used = 0
+        self.begin, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def direct(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, self.kind).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
+    def _since(self, known: int) -> list[str]:
+        """Words numbered from ``known`` on, in order."""
+        return list(islice(reversed(self.numbers), len(self.numbers) - known))[::-1]
+
+    def _keep(self, numbers: list[int], lengths: np.ndarray, ids: np.ndarray) -> None:
+        """Ids of words, one after another."""
+        if len(self.numbers) > len(self.begin):
+            more = np.zeros(2 * len(self.numbers) - len(self.begin), np.int64)
+            self.begin, self.length = np.r_[self.begin, more], np.r_[self.length, more]
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.r_[self.ids, np.zeros(self.used + 2 * len(ids), self.kind)]
+        self.begin[numbers] = self.used + np.cumsum(lengths) - lengths
+        self.length[numbers] = lengths
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def _keep_raw(self, numbers: list[int], coded: list[bytes]) -> None:
+        lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // np.dtype(self.kind).itemsize
+        self._keep(numbers, lengths, np.frombuffer(b"".join(coded), self.kind))
+
+    def _learn_letters(self, words: list[str]) -> None:
         """Runs of letters, many in one call; the ids of each end (or begin) with a marked id."""
-        lead = self.lead
+        lead, numbers = self.lead, self.numbers
         step = WORDS_A_CALL * CALLS
         for start in range(0, len(words), step):
             groups = [words[at : at + WORDS_A_CALL] for at in range(start, min(start + step, len(words)), WORDS_A_CALL)]
@@ -79,40 +112,63 @@ class Subwords:
                 ids = np.array(code.ids, self.kind)
                 cuts = np.flatnonzero(self.edge[ids])
                 if len(cuts) == len(group):
-                    raw, width = ids.tobytes(), ids.itemsize
-                    cuts = [0, *((cuts + 1) * width).tolist()] if self.drops_space else [*(cuts * width).tolist(), len(raw)]
-                    self.chunks.update({p: raw[a:b] for p, a, b in zip(group, cuts, cuts[1:])})
+                    cuts = np.r_[0, cuts + 1] if self.drops_space else np.r_[cuts, len(ids)]
+                    self._keep([numbers[p] for p in group], np.diff(cuts), ids)
                 else:
-                    for p in group:
-                        self.chunks[p] = self.direct(lead + p)
+                    self._keep_raw([numbers[p] for p in group], [self.direct(lead + p) for p in group])
+
+    def _learn_pieces(self, pieces: set[str]) -> None:
+        new = list(pieces.difference(self.pieces))
+        for p, code in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            self.pieces[p] = np.array(code.ids, self.kind).tobytes()
+
+    def _word(self, number: int) -> bytes:
+        at = self.begin[number]
+        return self.ids[at : at + self.length[number]].tobytes()
+
+    def _learn(self, known: int) -> None:
+        """Ids of all words numbered from ``known`` on."""
+        letters, marked, others = [], [], []
+        for w in self._since(known):
+            if w.isalpha():
+                letters.append(w)
+            elif (core := w.rstrip(MARKS)).isalpha():
+                marked.append((w, core, w[len(core) :]))
+            else:
+                others.append(w)
+        numbers = self.numbers
+        seen = len(numbers)
+        cores = [numbers[core] for _, core, _ in marked]
+        self._learn_letters(letters + self._since(seen))
+        self._learn_pieces({tail for _, _, tail in marked})
+        self._keep_raw(
+            [numbers[w] for w, _, _ in marked],
+            [self._word(core) + self.pieces[tail] for core, (_, _, tail) in zip(cores, marked)],
+        )
+        self._keep_raw([numbers[w] for w in others], self._by_piece([self.lead + w for w in others]))
 
     def _by_piece(self, texts: list[str]) -> list[bytes]:
         """Ids of plain texts, piece by piece."""
-        split, chunks, pieces = self.pattern.findall, self.chunks, self.pieces
-        parts = [split(t) for t in texts]
-        n = len(self.lead)
-        words, rest = set(), set()
-        for part in parts:
-            for p in part:
-                if p[:n] == self.lead and p[n:].isalpha():
-                    if p[n:] not in chunks:
-                        words.add(p[n:])
-                elif p not in pieces:
-                    rest.add(p)
-        self._learn(list(words))
-        for p in rest:
-            pieces[p] = self.direct(p)
-        return [
-            b"".join([chunks[p[n:]] if p[:n] == self.lead and p[n:].isalpha() else pieces[p] for p in part])
-            for part in parts
+        split, numbers, pieces = self.pattern.findall, self.numbers, self.pieces
+        n, seen = len(self.lead), len(numbers)
+        parts = [
+            [numbers[p[n:]] if p[:n] == self.lead and p[n:].isalpha() else p for p in split(t)] for t in texts
         ]
+        self._learn_letters(self._since(seen))
+        self._learn_pieces({p for part in parts for p in part if isinstance(p, str)})
+        return [b"".join([pieces[p] if isinstance(p, str) else self._word(p) for p in part]) for part in parts]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        chunks = self.chunks
-        if len(self.pieces) + len(chunks) > self.cached:
-            self.pieces.clear()
-            chunks.clear()
-        out: list[bytes] = [b""] * len(texts)
+        if len(self.pieces) + len(self.numbers) > self.cached:
+            self.forget()
+        try:
+            return self._encode(texts)
+        except BaseException:
+            self.forget()  # words may have numbers but no ids yet
+            raise
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[np.ndarray] = [np.zeros(0, self.kind)] * len(texts)
         split: list[tuple[int, str, list[str]]] = []
         slow: list[int] = []
         for i, text in enumerate(texts):
@@ -120,7 +176,7 @@ class Subwords:
                 continue
             raw = plain(text)
             if raw is None:
-                out[i] = self.direct(text)
+                out[i] = np.frombuffer(self.direct(text), self.kind)
             elif self.drops_space:
                 split.append((i, "", text.lower().split()))
             elif odd_space(raw):
@@ -128,16 +184,25 @@ class Subwords:
             else:
                 first, *words = text.split(" ")
                 split.append((i, first, words))
-        new = set().union(*[words for _, _, words in split]) - chunks.keys()
-        self._learn([w for w in new if w.isalpha()])
-        mixed = [w for w in new if not w.isalpha()]
-        ids = self._by_piece(
-            [self.lead + w for w in mixed] + [first for _, first, _ in split] + [texts[i] for i in slow]
-        )
-        chunks.update(zip(mixed, ids))
-        known = chunks.__getitem__
-        for (i, _, words), first in zip(split, ids[len(mixed) :]):
-            out[i] = first + b"".join(map(known, words))
-        for i, raw in zip(slow, ids[len(mixed) + len(split) :]):
-            out[i] = raw
-        return [np.frombuffer(raw, self.kind) for raw in out]
+        known = len(self.numbers)
+        counts = np.array([0] + [len(words) for _, _, words in split])
+        bounds = np.cumsum(counts)
+        words = chain.from_iterable([words for _, _, words in split])
+        row = np.fromiter(map(self.numbers.__getitem__, words), np.int64, bounds[-1])
+        self._learn(known)
+        ids = self._by_piece([first for _, first, _ in split] + [texts[i] for i in slow])
+        lengths = self.length[row]
+        ends = np.r_[0, np.cumsum(lengths)]
+        found = self.ids[np.repeat(self.begin[row] - ends[:-1], lengths) + np.arange(ends[-1])]
+        cuts = ends[bounds].tolist()
+        for (i, _, _), first, a, b in zip(split, ids, cuts, cuts[1:]):
+            out[i] = np.r_[np.frombuffer(first, self.kind), found[a:b]] if first else found[a:b]
+        for i, raw in zip(slow, ids[len(split) :]):
+            out[i] = np.frombuffer(raw, self.kind)
+        return out
+
+
+@lru_cache(maxsize=1)
+def shared_subwords(path: str, drops_space: bool) -> Subwords:
+    """One for all tasks that a worker runs one after another, so that words learned once stay known."""
+    return Subwords(path, drops_space)
