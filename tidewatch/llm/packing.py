@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import kept, text_or_empty
-from tidewatch.llm.subwords import Subwords
+from tidewatch.llm.subwords import shared_subwords
 
 CAPACITY = 2048
 TEXTS = 200
@@ -87,7 +87,7 @@ def pieces_of(docs: DataFrame, path: str, drops_space: bool, end_id: int, capaci
     """Pieces of all documents with a rank among the pieces of the same length and task."""
 
     def tokenize(batches):
-        part, seen, subwords = TaskContext.get().partitionId(), defaultdict(int), Subwords(path, drops_space)
+        part, seen, subwords = TaskContext.get().partitionId(), defaultdict(int), shared_subwords(path, drops_space)
         end = np.array([end_id], np.uint32 if end_id > np.iinfo(subwords.kind).max else subwords.kind)
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
