@@ -5,21 +5,43 @@ from __future__ import annotations
 import numpy as np
 
 
+PACKED = 63  # bits of a sort key that carries its position
+
+
+def sorted_keys(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, keys in order) of keys below 2^bits; equal keys stay in order.
+
+    Where key and position fit into one number, numbers are sorted instead of positions.
+    """
+    place = len(key).bit_length()
+    if bits + place > PACKED:
+        order = np.argsort(key, kind="stable")
+        return order, key[order]
+    both = (key << place) | np.arange(len(key))
+    both.sort()
+    return both & ((1 << place) - 1), both >> place
+
+
 def suffix_order(text: np.ndarray) -> np.ndarray:
     """Suffix array of a text whose separators are all different, by prefix doubling."""
     n = len(text)
-    _, rank = np.unique(text, return_inverse=True)
-    rank, step = rank.astype(np.int64), 1
+    place, wide = n.bit_length(), (int(text.max()) + 1).bit_length()
+    step = max(1, (PACKED - place) // wide)  # characters of the first keys
+    key = np.zeros(n, np.int64)
+    for at in range(step):
+        key <<= wide
+        key[: max(0, n - at)] += text[at:] + 1
+    bits = step * wide
     while True:
-        key = (rank + 1) << 32
-        key[: n - step] += rank[step:] + 1
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
+        order, key = sorted_keys(key, bits)
         rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.r_[0, sorted_key[1:] != sorted_key[:-1]])
-        step *= 2
+        rank[order] = np.cumsum(np.r_[0, key[1:] != key[:-1]])
         if step >= n or rank[order[-1]] == n - 1:
             return order
+        bits = 2 * place
+        key = (rank + 1) << place
+        key[: n - step] += rank[step:] + 1
+        step *= 2
 
 
 class RunIndex:
