@@ -5,12 +5,17 @@ every node belongs to the cell of its nearest centroid and visits the cells whos
 within half the link distance. The distances of two linked nodes to the border between their
 cells add up to no more than the link distance, so one of them visits the other's cell and
 every link is found. Members of a cell meet each other and its
-visitors in blocks, as matrix products in double precision. Members within half the link
+visitors in blocks, as matrix products. Members within half the link
 angle of their centroid, its core, are linked with each other by the triangle inequality and
 are not compared: blocks of the core meet only blocks of other members and of visitors, so a
 tight group is not dealt against itself. Blocks give sums of weights and the smallest node that is reached, never lists of
 pairs, so a dense cell costs products but no rows.
 
+Vectors are written once, in blocks of one cell each; a task holds the blocks of some cells and
+reads all others past them, so a vector that visits many cells is not copied for each. A product
+starts with a bound in single precision: the components along the axes of most spread, and the
+lengths of what is left. Only rows and columns that may reach the threshold meet in double precision.
+
 Vectors that are null, zero, or hold null or non-finite components, and rows without id,
 link with nothing; shorter vectors have zeros at their end; repeated rows are copies; an
 empty table gives no rows.
@@ -21,14 +26,15 @@ from __future__ import annotations
 from collections import defaultdict
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import kept, partitions_for
+from tidewatch.llm.common import kept, open_file, partitions_for, write_whole
 from tidewatch.llm.components import components, smallest_reachable
 from tidewatch.llm.kdtree import matrix, usable
+from tidewatch.session import work_dir
 
 CELL_ROWS = 512
 MOST_CELLS = 4096
@@ -37,6 +43,11 @@ ROUNDS = 12
 MEMBERS = 1024  # members of a cell in a block
 VISITORS = 4096
 ROUNDING = 1e-7  # above the rounding error of a distance between centroids
+AXES = 31  # axes of most spread that a bound takes
+SHARD = 1 << 19  # components in a file of blocks
+HELD = 1 << 23  # components that a task holds
+CHUNK = 1024  # rows that meet all centroids at once
+CELLS = 256  # centroids that meet a file's rows at once
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -45,20 +56,29 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number and cosine of every row's nearest centroid, for a few rows at a time."""
+    home, best = np.empty(len(x), np.int64), np.empty(len(x), centres.dtype)
+    for at in range(0, len(x), CHUNK):
+        near = x[at : at + CHUNK] @ centres.T
+        home[at : at + CHUNK] = near.argmax(axis=1)
+        best[at : at + CHUNK] = near.max(axis=1)
+    return home, best
+
+
 def fit_centroids(x: np.ndarray, cells: int, seed: int = 11) -> np.ndarray:
     """Spherical k-means: nearest centroid by cosine, centroid = normed sum."""
     rng = np.random.default_rng(seed)
     centres = x[rng.choice(len(x), min(cells, len(x)), replace=False)]
     for _ in range(ROUNDS):
-        near = x @ centres.T
-        home = near.argmax(axis=1)
+        home, best = nearest(x, centres)
         sums = np.zeros_like(centres)
         np.add.at(sums, home, x)
         norms = np.linalg.norm(sums, axis=1)
         empty = norms < 1e-9
         sums[~empty] /= norms[~empty, None]
         if empty.any():  # move unused centroids to the worst-placed vectors
-            worst = np.argsort(near[np.arange(len(x)), home], kind="stable")[: int(empty.sum())]
+            worst = np.argsort(best, kind="stable")[: int(empty.sum())]
             sums[empty] = x[worst]
         centres = sums
     return centres
@@ -86,17 +106,122 @@ def units_of(home: int, core: bool, visits: list[int], mixed: int, rim: np.ndarr
     return units
 
 
+class Space:
+    """Centroids, the axes of most spread, and what they tell of vectors."""
+
+    def __init__(self, centres: np.ndarray, axes: np.ndarray, threshold: float):
+        self.centres, self.axes, self.threshold = centres, axes.astype(np.float32), threshold
+        self.spun = (centres @ axes).astype(np.float32)
+        self.border = np.sqrt(2 - 2 * threshold) / 2
+        self.slack = 1e-5 + 2.4e-7 * len(axes)  # above the errors of single precision
+
+    def form(self, raw: np.ndarray) -> np.ndarray:
+        """Unit vectors along the axes, in single precision, after the length of what the first axes leave."""
+        out = np.empty((len(raw), 1 + len(self.axes)), np.float32)
+        with np.errstate(over="ignore", invalid="ignore", under="ignore"):
+            x = (raw / np.abs(raw).max(axis=1, keepdims=True)).astype(np.float32, copy=False) @ self.axes
+        np.divide(x, np.sqrt(np.einsum("ij,ij->i", x, x))[:, None], out=out[:, 1:])
+        rest = out[:, 1 + AXES :]
+        out[:, 0] = np.sqrt(np.einsum("ij,ij->i", rest, rest))
+        return out
+
+    def visiting(self, x: np.ndarray, raw: np.ndarray, best: np.ndarray, home: np.ndarray, to: np.ndarray) -> np.ndarray:
+        """Which of the cells ``to`` (rows) every vector (columns) visits.
+
+        Close calls are decided row by row in double precision, so that they come out the same
+        whatever vectors and cells are asked for together.
+        """
+        homes, at = np.unique(home, return_inverse=True)
+        apart = np.sqrt(np.maximum(2 - 2 * self.centres[to] @ self.centres[homes].T, 0))
+        beyond = best.astype(np.float32) - (self.border * apart + ROUNDING).astype(np.float32)[:, at]
+        beyond -= self.spun[to] @ x[:, 1:].T
+        out = beyond <= 0
+        r, c = np.nonzero(np.abs(beyond) <= 2 * self.slack)
+        for k in range(0, len(r), 1 << 16):
+            i, j = r[k : k + (1 << 16)], c[k : k + (1 << 16)]
+            there, here = self.centres[to[i]], self.centres[home[j]]
+            apart = np.sqrt(np.maximum(2 - 2 * (there * here).sum(axis=1), 0))
+            near = (unit(raw[j].astype(np.float64)) * there).sum(axis=1)
+            out[i, j] = best[j] - near <= self.border * apart + ROUNDING
+        out[to[:, None] == home[None, :]] = False
+        return out
+
+
+class Blocks:
+    """Rows of some blocks: node, weight, cosine to the centroid, vector."""
+
+    def __init__(self, space: Space, parts: list[tuple[bytes, int, int, bool]], width: int, kind: str):
+        """``parts``: (bytes, rows, home, core) of every block."""
+        sizes = np.array([p[1] for p in parts])
+        self.ends = np.cumsum(sizes)
+        self.node, self.w = np.empty(self.ends[-1], np.int64), np.empty(self.ends[-1], np.int64)
+        self.best, self.raw = np.empty(self.ends[-1]), np.empty((self.ends[-1], width), kind)
+        for (data, n, _, _), end in zip(parts, self.ends.tolist()):
+            rows = slice(end - n, end)
+            for column, at, of in ((self.node, 0, np.int64), (self.w, 8 * n, np.int64), (self.best, 16 * n, np.float64)):
+                column[rows] = np.frombuffer(data, of, n, at)
+            self.raw[rows] = np.frombuffer(data, kind, n * width, 24 * n).reshape(n, width)
+        self.home = np.repeat(np.array([p[2] for p in parts], np.int64), sizes)
+        self.x = space.form(self.raw)
+        self.short = np.ascontiguousarray(self.x[:, : 1 + AXES])
+        self.n = np.zeros(len(self.node), np.int64)
+
+    def rows(self, k: int) -> np.ndarray:
+        return np.arange(self.ends[k - 1] if k else 0, self.ends[k])
+
+    @staticmethod
+    def packed(node: np.ndarray, w: np.ndarray, best: np.ndarray, raw: np.ndarray) -> bytes:
+        return b"".join(a.tobytes() for a in (node, w, best, raw))
+
+
+def meet(space: Space, left: Blocks, a: np.ndarray, right: Blocks, b: np.ndarray, cell: int | None, twice: bool) -> list:
+    """Count the links of rows ``a`` and ``b``; (nodes, smallest nodes reached) of what they join.
+
+    ``cell``: where ``b`` are visitors, the cell of ``a``. ``twice``: the rows meet themselves.
+    """
+    bound = left.short[a] @ right.short[b].T
+    least = space.threshold - space.slack
+    if not bound.size or bound.max() < least:
+        return []
+    bound = bound >= least
+    a, b = a[bound.any(axis=1)], b[bound.any(axis=0)]
+    linked = unit(left.raw[a].astype(np.float64)) @ unit(right.raw[b].astype(np.float64)).T >= space.threshold
+    if cell is None:
+        linked &= left.node[a][:, None] != right.node[b][None, :]
+    else:
+        # Found in the guest's cell too: count it in the cell with the smaller number.
+        homes = right.home[b]
+        others = np.unique(homes[linked.any(axis=0) & (homes < cell)])
+        if len(others):
+            mutual = space.visiting(left.x[a], left.raw[a], left.best[a], left.home[a], others)
+            for other, back in zip(others, mutual):
+                linked[np.ix_(back, homes == other)] = False
+    rows, cols = linked.any(axis=1), linked.any(axis=0)
+    linked, a, b = linked[np.ix_(rows, cols)], a[rows], b[cols]
+    if not len(a):
+        return []
+    left.n[a] += linked @ right.w[b]
+    if not twice:
+        right.n[b] += left.w[a] @ linked
+    x, y = left.node[a], right.node[b]
+    root_x, root_y = smallest_reachable(linked, x, y)
+    return [(x, root_x)] if twice else [(x, root_x), (y, root_y)]
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of (vec_id, embedding)."""
+    spark = vectors.sparkSession
     nonzero = F.exists("embedding", lambda x: x != 0)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").withColumn(
         "node", F.when(usable() & nonzero & F.col("vec_id").isNotNull(), F.xxhash64("embedding"))
     )
+    single = rows.schema["embedding"].dataType.simpleString() == "array<float>"
+    kind = "<f4" if single else "<f8"
     nodes = kept(
         rows.where("node is not null")
         .groupBy("node", "embedding")
         .agg(F.count(F.lit(1)).alias("w"), F.min("vec_id").alias("first"))
-        .select("node", "w", "first", F.transform("embedding", lambda x: x.cast("double")).alias("x")),
+        .select("node", "w", "first", (F.col("embedding") if single else F.transform("embedding", lambda x: x.cast("double"))).alias("x")),
         "vectors",
     )
     n, width = nodes.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
@@ -110,107 +235,158 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
         parts = [(b.column(0).to_numpy(), matrix(b.column(1), width)) for b in batches if b.num_rows]
         order = np.argsort(np.concatenate([p[0] for p in parts])) if parts else []
         x = unit(np.concatenate([p[1] for p in parts])[order]) if parts else np.eye(1, width)
-        yield pa.RecordBatch.from_pydict({"centres": [fit_centroids(x, cells).tobytes()]})
+        centres = fit_centroids(x, cells)
+        shares = np.bincount(nearest(x, centres)[0], minlength=len(centres)) / len(x)
+        axes = np.linalg.eigh(x.T @ x)[1][:, ::-1]
+        yield pa.RecordBatch.from_pydict({k: [v.tobytes()] for k, v in (("centres", centres), ("shares", shares), ("axes", axes))})
 
     draw = F.pmod(F.xxhash64("node", F.lit("kmeans")), F.lit(1 << 30)) / float(1 << 30)
     sampled = nodes.where(draw < min(1.0, SAMPLE / n)).select("node", "x").repartition(1)
-    [fitted] = sampled.mapInArrow(learn, "centres binary").collect()
-    centres = np.frombuffer(fitted["centres"]).reshape(-1, width)
+    [fitted] = sampled.mapInArrow(learn, "centres binary, shares binary, axes binary").collect()
+    centres, axes = (np.frombuffer(fitted[k]).reshape(-1, width) for k in ("centres", "axes"))
+    shares = np.frombuffer(fitted["shares"])
     cells = len(centres)
-    chord = np.sqrt(2 - 2 * threshold)
-    border = chord / 2
-    sent = vectors.sparkSession.sparkContext.broadcast(centres)  # at most MOST_CELLS vectors
+    sent = spark.sparkContext.broadcast(Space(centres, axes, threshold))  # at most MOST_CELLS vectors
     half = np.sqrt((1 + threshold) / 2) + 1e-9
+    tasks = partitions_for(spark)
+    buckets = 4 * tasks  # cells that follow each other; one that is larger than a bucket is dealt to several
+    before = np.cumsum(shares) - shares
 
     def place(batches):
-        centres = sent.value
-        apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
+        centres = sent.value.centres
+        rough = centres.astype(np.float32)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                x = unit(matrix(part.column(2), width))
-                near = x @ centres.T
-                home = near.argmax(axis=1)
-                best = near[np.arange(len(x)), home]
-                visits = best[:, None] - near <= border * apart[home] + ROUNDING
-                visits[np.arange(len(x)), home] = False
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        part.column(1),
-                        pa.array([r.tobytes() for r in x], pa.binary()),
-                        pa.array(home, pa.int32()),
-                        pa.array([np.flatnonzero(v).tolist() for v in visits], pa.list_(pa.int32())),
-                        pa.array(best >= half),
-                    ],
-                    names=["node", "w", "x", "home", "visits", "core"],
-                )
-
-    placed = kept(
-        nodes.select("node", "w", "x").mapInArrow(
-            place, "node long, w long, x binary, home int, visits array<int>, core boolean"
-        ),
-        "placed",
+            x = unit(matrix(batch.column(2), width))
+            home = nearest(x.astype(np.float32), rough)[0]
+            best = np.concatenate([(x[k : k + CHUNK] * centres[home[k : k + CHUNK]]).sum(axis=1) for k in range(0, len(x), CHUNK)] or [[]])
+            mixed = (batch.column(0).to_numpy().view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) / float(1 << 31)
+            at = before[home] + shares[home] * np.where(shares[home] * buckets > 2, mixed, 0.5)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((at * buckets).astype(np.int32)), *batch.columns, pa.array(home.astype(np.int32)), pa.array(best), pa.array(best >= half)],
+                names=["bucket", "node", "w", "x", "home", "best", "core"],
+            )
+
+    element = "float" if single else "double"
+    placed = (
+        nodes.select("node", "w", "x")
+        .mapInArrow(place, f"bucket int, node long, w long, x array<{element}>, home int, best double, core boolean")
+        .repartition(tasks, "bucket")
+        .sortWithinPartitions("home", "core", "node")
     )
-    # One row per cell, or two.
-    members = {(r[0], r[1]): r[2] for r in placed.groupBy("home", "core").count().collect()}
-    guests = {r[0]: r[1] for r in placed.select(F.explode("visits").alias("c")).groupBy("c").count().collect()}
-    rim, cores = (np.array([-(-members.get((c, of), 0) // MEMBERS) for c in range(cells)]) for of in (False, True))
-    crowds = np.array([-(-guests.get(c, 0) // VISITORS) for c in range(cells)])
-
-    def deal(batches):
-        """Copies of a row for every pair of blocks it is part of."""
+    uri = work_dir(spark, "blocks")
+    shard_rows, held_rows = max(1, SHARD // width), max(1, HELD // width)
+
+    def store(batches):
+        """Blocks of one cell, core or not, one after the other in files of some rows."""
+        part, made, waiting, count = TaskContext.get().partitionId(), 0, [], 0
+
+        def shard(rows: pa.Table):
+            nonlocal made
+            node, w, home, best = (rows.column(c).to_numpy() for c in ("node", "w", "home", "best"))
+            core = rows.column("core").to_numpy()
+            raw = matrix(rows.column("x").combine_chunks(), width).astype(kind)
+            turns = np.flatnonzero(np.r_[True, (home[1:] != home[:-1]) | (core[1:] != core[:-1]), True])
+            cuts = [(k, min(k + MEMBERS, e)) for s, e in zip(turns[:-1].tolist(), turns[1:].tolist()) for k in range(s, e, MEMBERS)]
+            name = f"blocks-{part:06d}-{made:06d}"
+            write_whole(uri, name, (Blocks.packed(node[s:e], w[s:e], best[s:e], raw[s:e]) for s, e in cuts))
+            made += 1
+            begin = [s for s, _ in cuts]
+            return pa.RecordBatch.from_pydict(
+                {
+                    "file": [name] * len(cuts), "at": [s * (24 + raw.itemsize * width) for s in begin], "rows": [e - s for s, e in cuts],
+                    "home": home[begin], "core": core[begin], "cw": np.add.reduceat(w, begin), "cr": np.minimum.reduceat(node, begin),
+                }
+            )
+
         for batch in batches:
-            out = defaultdict(list)
-            for r, (node, home, core, visits) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("node", "home", "core", "visits")))):
-                mixed = (node * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 33
-                for c, i, j, left, right in units_of(home, core, visits, mixed, rim, cores, crowds):
-                    for name, value in zip(("cell", "i", "j", "left", "right", "row"), (c, i, j, left, right, r)):
-                        out[name].append(value)
-            if out:
-                rows = batch.take(pa.array(out.pop("row"), pa.int64()))
-                keys = [pa.array(out[k], pa.int32()) for k in ("cell", "i", "j")] + [pa.array(out[k]) for k in ("left", "right")]
-                yield pa.RecordBatch.from_arrays([*keys, *rows.columns], names=["cell", "i", "j", "left", "right", *rows.schema.names])
-
-    kinds = "cell int, i int, j int, left boolean, right boolean, node long, w long, x binary, home int, visits array<int>, core boolean"
-    dealt = placed.mapInArrow(deal, kinds)
-
-    def compare(key, group: pd.DataFrame) -> pd.DataFrame:
-        cell, _, j = key
-        left, right = group[group["left"]], group[group["right"]]
-        x, y = (np.frombuffer(b"".join(g["x"]), np.float64).reshape(len(g), width) for g in (left, right))
-        if not len(x) or not len(y):
-            return pd.DataFrame({"node": [], "n": [], "root": []})
-        linked = x @ y.T >= threshold
-        a, b = left["node"].to_numpy(), right["node"].to_numpy()
-        if j >= 0:
-            linked &= a[:, None] != b[None, :]
-        else:
-            # Found in the guest's cell too: count it in the cell with the smaller number.
-            homes = right["home"].to_numpy()
-            for other in np.unique(homes[homes < cell]):
-                mutual = np.array([other in v for v in left["visits"]])
-                linked[np.ix_(mutual, homes == other)] = False
-        rows, cols = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
-        linked, a, b = linked[np.ix_(rows, cols)], a[rows], b[cols]
-        n_left = linked @ right["w"].to_numpy()[cols]
-        n_right = left["w"].to_numpy()[rows] @ linked
-        root_left, root_right = smallest_reachable(linked, a, b)
-        if j >= 0 and key[1] == j:  # the block meets itself: every pair is in the matrix twice
-            return pd.DataFrame({"node": a, "n": n_left, "root": root_left})
-        return pd.DataFrame(
-            {"node": np.r_[a, b], "n": np.r_[n_left, n_right], "root": np.r_[root_left, root_right]}
-        )
+            waiting.append(batch)
+            count += batch.num_rows
+            while count >= shard_rows:
+                rows = pa.Table.from_batches(waiting)
+                yield shard(rows.slice(0, shard_rows))
+                waiting, count = rows.slice(shard_rows).to_batches(), count - shard_rows
+        if count:
+            yield shard(pa.Table.from_batches(waiting))
+
+    # One row per block.
+    stored = kept(placed.mapInArrow(store, "file string, at long, rows long, home int, core boolean, cw long, cr long"), "stored")
+    index = stored.toPandas().sort_values(["home", "core", "file", "at"], ignore_index=True)
+    rim, cores = (np.bincount(index["home"][index["core"] == of], minlength=cells) for of in (False, True))
+    index["own"] = index.groupby(["home", "core"]).cumcount()  # its number among the blocks of the rim, or of the core
+    index["group"] = (index["rows"].cumsum() - index["rows"]) // held_rows
+    whole = index[index["core"]].groupby("home").agg(cw=("cw", "sum"), cr=("cr", "min"))
+    whole = dict(zip(whole.index.tolist(), zip(whole["cw"].tolist(), whole["cr"].tolist())))
+    index = index.drop(columns=["cw", "cr"])
+    files = index.sort_values(["file", "at"], ignore_index=True)
+    of_group, of_file = (np.r_[np.flatnonzero(c != c.shift()), len(c)] for c in (index["group"], files["file"]))
+    groups = len(of_group) - 1
+    segments = min(len(of_file) - 1, -(-4 * tasks // groups))
+    told = spark.sparkContext.broadcast((index, files, rim, cores, whole))
+    nobody = np.zeros(cells, np.int64)
+    record = 24 + np.dtype(kind).itemsize * width
+
+    def compare(batches):
+        space, (index, files, rim, cores, whole) = sent.value, told.value
+
+        def read(part):
+            """The blocks of some rows of the index, in their order."""
+            out, opened = [], {}
+            for name, at, n, home, core in zip(*(part[c].tolist() for c in ("file", "at", "rows", "home", "core"))):
+                if name not in opened:
+                    opened[name] = open_file(uri, name)
+                out.append((opened[name].read_at(n * record, at), n, home, core))
+            for file in opened.values():
+                file.close()
+            return Blocks(space, out, width, kind)
+
+        def links(group: int, segment: int):
+            part = index.iloc[of_group[group] : of_group[group + 1]]
+            held = read(part)
+            blocks = {(h, o + rim[h] * c): k for k, (h, o, c) in enumerate(zip(*(part[c].tolist() for c in ("home", "own", "core"))))}
+            of_cell = defaultdict(list)
+            for (home, _), k in blocks.items():
+                of_cell[home].append(k)
+            there = np.array(sorted(of_cell), np.int64)
+            for file in range(segment, len(of_file) - 1, segments):
+                part = files.iloc[of_file[file] : of_file[file + 1]]
+                met = read(part)
+                found = []
+                for few in np.split(there, range(CELLS, len(there), CELLS)):
+                    for cell, guests in zip(few.tolist(), space.visiting(met.x, met.raw, met.best, met.home, few)):
+                        guests = np.flatnonzero(guests)
+                        for at in range(0, len(guests), VISITORS):
+                            for k in of_cell[cell]:
+                                found += meet(space, held, held.rows(k), met, guests[at : at + VISITORS], cell, False)
+                for k, (home, core, own) in enumerate(zip(*(part[c].tolist() for c in ("home", "core", "own")))):
+                    b = met.rows(k)
+                    for _, i, j, _, right in units_of(home, core, [], own, rim, cores, nobody):
+                        if right and (home, i) in blocks:
+                            found += meet(space, held, held.rows(blocks[home, i]), met, b, None, i == j)
+                    if core and (home, own + rim[home]) in blocks:
+                        met.n[b] += whole[home][0] - met.w[b]
+                        found.append((met.node[b], np.full(len(b), whole[home][1])))
+                yield from told_of(found, met)
+            yield from told_of([], held)
+
+        def told_of(found, counted):
+            """Sums of weights, and every pair of a node and a smaller one that it reaches once."""
+            some = np.flatnonzero(counted.n)
+            pairs = np.concatenate([np.stack(f, axis=1) for f in found] or [np.empty((0, 2), np.int64)])
+            pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+            node = np.r_[counted.node[some], pairs[:, 0]]
+            n, root = np.r_[counted.n[some], np.zeros(len(pairs), np.int64)], np.r_[counted.node[some], pairs[:, 1]]
+            if len(node):
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n), pa.array(root)], names=["node", "n", "root"])
+
+        for batch in batches:
+            for group, segment in zip(*(batch.column(c).to_pylist() for c in range(2))):
+                yield from links(group, segment)
 
-    found = kept(
-        dealt.repartition(partitions_for(vectors.sparkSession), "cell", "i", "j")
-        .groupBy("cell", "i", "j")
-        .applyInPandas(compare, "node long, n long, root long"),
-        "found",
+    # Every group of held blocks meets all files, in segments.
+    work = spark.range(groups * segments).select(
+        F.expr(f"cast(id div {segments} as int)").alias("group"), F.expr(f"cast(id % {segments} as int)").alias("segment")
     )
-    core_sums = placed.where("core").groupBy("home").agg(F.sum("w").alias("cw"), F.min("node").alias("cr"))
-    in_core = placed.where("core").join(core_sums, "home").select("node", (F.col("cw") - F.col("w")).alias("n"), F.col("cr").alias("root"))
-    links = found.unionByName(in_core)
+    links = kept(work.repartition(groups * segments).mapInArrow(compare, "node long, n long, root long"), "found")
     counts = links.groupBy("node").agg(F.sum("n").alias("n"))
     roots = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     labelled = kept(

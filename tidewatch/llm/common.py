@@ -13,6 +13,7 @@ from tidewatch.session import work_dir
 
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +24,16 @@ def kept(df: DataFrame, prefix: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs no more than the files it was about to write.
+    Nothing reads the shuffles behind the table again, so their files go as soon as it is written.
     """
     path = f"{work_dir(df.sparkSession, prefix)}/table"
-    df.write.mode("overwrite").parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
