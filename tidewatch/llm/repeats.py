@@ -5,9 +5,12 @@ stretch, so that each string of 100 bytes holds an anchor that depends on that s
 An anchor's context are the bytes within reach of a 100-byte string around it. Contexts that
 are equal need no look at the text: all but the first are repeats as a whole. Where an
 anchor has different contexts, one text of each is fetched, and run-length indexes over
-slices of them find which strings start earlier. An anchor with few contexts is one slice; of
-one with many, only the strings that no earlier context of their slice holds meet those of
-the other slices, by their hashes. Marks are joined per document, merged, and cut out.
+slices of them find which strings start earlier. An anchor with few contexts is one slice. The
+contexts of one with many are halved: strings that start near the anchor hold the bytes that
+follow it, the others those before it, and only contexts that agree in these meet again, up to
+HALVINGS times. Of what is too many even then, the strings that no earlier context of their slice
+holds meet those of the other slices, by their hashes. Marks are joined per document, merged,
+and cut out.
 
 Hashes have 64 bits and are compared together with a second hash of the context. A document
 is an id with a hash of the text: rows that repeat an id with another text are documents of
@@ -37,6 +40,7 @@ LEFT = LENGTH - GRAM  # bytes of a context before its anchor
 CHUNK = 1 << 20  # bytes hashed together
 INDEXED = 1 << 18  # bytes of an index
 MOST = 1024  # contexts in a slice of an anchor, in expectation
+HALVINGS = 3
 NO_ID = -(1 << 63)
 PRIME = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(PRIME, -1, 1 << 64)
@@ -181,6 +185,64 @@ def fetched(asked: DataFrame, docs: DataFrame) -> DataFrame:
     return joined.mapInArrow(cut, "gram long, doc long, own long, pos int, left int, bytes binary, m long")
 
 
+def halved(contexts: DataFrame) -> DataFrame:
+    """Contexts twice, for the first and the second half of their strings; ``gram`` is what all strings of a half hold.
+
+    A string starts ``low`` to ``high`` bytes before the anchor. A context without a string of a
+    half is not part of it; the others are cut to what the strings of the half cover.
+    """
+
+    def split(batches):
+        up, down = powers(PRIME, 1 << 16), powers(INVERSE, 1 << 16)
+        for batch in batches:
+            texts = batch.column("bytes").to_pylist()
+            raw = np.frombuffer(b"".join(texts), np.uint8)
+            if len(raw) >= len(up):
+                up, down = powers(PRIME, 2 * len(raw)), powers(INVERSE, 2 * len(raw))
+            hasher = Hasher(raw, up, down)
+            sizes = np.array([len(t) for t in texts], np.int64)
+            begins = np.cumsum(sizes) - sizes
+            left, low, high = (batch.column(c).to_numpy().astype(np.int64) for c in ("left", "low", "high"))
+            middle = (low + high) // 2
+            for least, most in ((low, middle), (middle + 1, high)):
+                rows = np.flatnonzero((least <= most) & (left >= least) & (left + LENGTH - most <= sizes))
+                a, b, at, begin = least[rows], most[rows], left[rows], begins[rows]
+                common = hasher.between(begin + at - a, begin + at + LENGTH - b) ^ scramble((a * 256 + b + (1 << 20)).astype(np.uint64))
+                first, last = at - np.minimum(at, b), np.minimum(sizes[rows], at + LENGTH - a)
+                taken = pa.array(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(common.view(np.int64)), *(batch.column(c).take(taken) for c in ("doc", "own", "pos")),
+                        pa.array((at - first).astype(np.int32)),
+                        pa.array([texts[r][i:j] for r, i, j in zip(rows.tolist(), first.tolist(), last.tolist())], pa.binary()),
+                        pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)),
+                    ],
+                    names=["gram", "doc", "own", "pos", "left", "bytes", "low", "high"],
+                )
+
+    return contexts.mapInArrow(split, "gram long, doc long, own long, pos int, left int, bytes binary, low int, high int")
+
+
+def grouped(contexts: DataFrame) -> DataFrame:
+    """Contexts in groups whose strings may meet; a group of more than MOST has been halved as often as it may be."""
+    whole, groups = contexts.columns, []
+    contexts = contexts.withColumns({"low": F.lit(0), "high": F.lit(LEFT)})
+    for _ in range(HALVINGS):
+        groups.append(contexts.where(F.col("m") <= MOST).select(whole))
+        many = contexts.where(F.col("m") > MOST)
+        if many.isEmpty():
+            break
+        halves = kept(halved(many), "halves")
+        sizes = halves.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+        contexts = kept(halves.join(sizes, "gram"), "groups")
+    else:
+        groups.append(contexts.select(whole))
+    out = groups[0]
+    for more in groups[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def indexed(contexts: DataFrame) -> DataFrame:
     """What the indexes of all slices of contexts tell, as rows of two kinds.
 
@@ -254,12 +316,10 @@ def indexed(contexts: DataFrame) -> DataFrame:
 
 def across(strings: DataFrame) -> DataFrame:
     """Marks of strings that start earlier in another slice of their anchor; strings meet by their hash."""
-    # A string's least document, and its least place in each document, are combined before the shuffle.
-    least = strings.groupBy("gram", "h").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")).where("d1 > d0")
-    inside = strings.groupBy("gram", "h", "doc", "own").agg(F.min("start").alias("s0"), F.max("start").alias("s1")).where("s1 > s0")
-    later = strings.join(least, ["gram", "h"]).where("doc > d0")
-    again = strings.join(inside, ["gram", "h", "doc", "own"]).where("start > s0")
-    return later.select("doc", "own", "start", "end").unionByName(again.select("doc", "own", "start", "end"))
+    # A slice gives each string once, so no string has many rows: one shuffle serves both minima.
+    inside = strings.withColumn("s0", F.min("start").over(W.partitionBy("gram", "h", "doc", "own")))
+    least = inside.withColumn("d0", F.min("doc").over(W.partitionBy("gram", "h")))
+    return least.where("doc > d0 OR start > s0").select("doc", "own", "start", (F.col("start") + LENGTH).alias("end"))
 
 
 def marks(docs: DataFrame) -> DataFrame:
@@ -285,9 +345,10 @@ def marks(docs: DataFrame) -> DataFrame:
     open_ = decided.where("NOT later").select("gram", "doc", "own", "pos", "reach")
     many = open_.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     contexts = kept(fetched(open_.join(many, "gram"), docs), "contexts")
-    told = kept(indexed(contexts), "indexed")
+    told = kept(indexed(grouped(contexts)), "indexed")
     within = told.where("h IS NULL").select("doc", "own", "start", "end")
-    return whole.unionByName(within).unionByName(across(told.where("h IS NOT NULL")))
+    strings = told.where("h IS NOT NULL").select("gram", "h", "doc", "own", "start")
+    return whole.unionByName(within).unionByName(across(strings))
 
 
 def merged(spans: pa.ListArray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
