@@ -46,11 +46,11 @@ def test_links_of_groups_and_files(spark, monkeypatch, kind):
     rows = [(i + 10_000 * k, v) for i, v in enumerate(x.tolist()) for k in range(w[i])]
     made = {}
 
-    def kept(df, name, keep=cells.kept):
+    def settled(df, name, keep=cells.settled):
         made[name] = keep(df, name)
         return made[name]
 
-    monkeypatch.setattr(cells, "kept", kept)
+    monkeypatch.setattr(cells, "settled", settled)
     got = cells.near_duplicates(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")).toPandas().sort_values("vec_id")
     stored = made["stored"].toPandas()
     assert stored["rows"].sum() == len(x) and stored["rows"].max() <= 16  # every vector is written once

@@ -42,11 +42,11 @@ def test_strings_of_common_phrases(spark, monkeypatch, halvings):
     monkeypatch.setattr(repeats, "HALVINGS", halvings)
     made = {}
 
-    def kept(df, name, keep=common.kept):
+    def settled(df, name, keep=common.settled):
         made[name] = keep(df, name)
         return made[name]
 
-    monkeypatch.setattr(repeats, "kept", kept)
+    monkeypatch.setattr(repeats, "settled", settled)
     got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert collections.Counter((r.doc_id, r.n_removed, r.kept_sha256) for r in got) == removed(rows)
     strings, contexts = made["indexed"].where("h IS NOT NULL").count(), made["contexts"].where("m > 8").count()
@@ -55,14 +55,14 @@ def test_strings_of_common_phrases(spark, monkeypatch, halvings):
         assert strings < 3 * contexts  # before, more than 40 for each
 
 
-def test_shuffles_of_kept_tables_are_deleted(spark):
+def test_shuffles_of_settled_tables_are_deleted(spark):
     files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
     def shuffles():
         return {name for name in files.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name and name.endswith(".data")}
 
     before = shuffles()
-    table = common.kept(spark.range(1000).repartition(3, "id"), "numbers")
+    table = common.settled(spark.range(1000).repartition(3, "id"), "numbers")
     end = time.time() + 20
     while (left := shuffles() - before) and time.time() < end:
         time.sleep(0.1)  # they go in the background

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import kept, open_file, partitions_for, write_whole
+from tidewatch.llm.common import open_file, partitions_for, settled, write_whole
 from tidewatch.llm.components import components, smallest_reachable
 from tidewatch.llm.kdtree import matrix, usable
 from tidewatch.session import work_dir
@@ -217,7 +217,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     )
     single = rows.schema["embedding"].dataType.simpleString() == "array<float>"
     kind = "<f4" if single else "<f8"
-    nodes = kept(
+    nodes = settled(
         rows.where("node is not null")
         .groupBy("node", "embedding")
         .agg(F.count(F.lit(1)).alias("w"), F.min("vec_id").alias("first"))
@@ -309,7 +309,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
             yield shard(pa.Table.from_batches(waiting))
 
     # One row per block.
-    stored = kept(placed.mapInArrow(store, "file string, at long, rows long, home int, core boolean, cw long, cr long"), "stored")
+    stored = settled(placed.mapInArrow(store, "file string, at long, rows long, home int, core boolean, cw long, cr long"), "stored")
     index = stored.toPandas().sort_values(["home", "core", "file", "at"], ignore_index=True)
     rim, cores = (np.bincount(index["home"][index["core"] == of], minlength=cells) for of in (False, True))
     index["own"] = index.groupby(["home", "core"]).cumcount()  # its number among the blocks of the rim, or of the core
@@ -386,10 +386,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     work = spark.range(groups * segments).select(
         F.expr(f"cast(id div {segments} as int)").alias("group"), F.expr(f"cast(id % {segments} as int)").alias("segment")
     )
-    links = kept(work.repartition(groups * segments).mapInArrow(compare, "node long, n long, root long"), "found")
+    links = settled(work.repartition(groups * segments).mapInArrow(compare, "node long, n long, root long"), "found")
     counts = links.groupBy("node").agg(F.sum("n").alias("n"))
     roots = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    labelled = kept(
+    labelled = settled(
         nodes.select("node", "w", "first")
         .join(counts, "node", "left")
         .join(roots, "node", "left")

@@ -24,17 +24,21 @@ def kept(df: DataFrame, prefix: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs no more than the files it was about to write.
-    Nothing reads the shuffles behind the table again, so their files go as soon as it is written.
     """
     path = f"{work_dir(df.sparkSession, prefix)}/table"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settled(df: DataFrame, prefix: str) -> DataFrame:
+    """As ``kept``; the shuffles behind the table go once it is written, as nothing reads them again."""
     conf = df.sparkSession.conf
     before = conf.get(CLEANUP, "false")
     conf.set(CLEANUP, "true")
     try:
-        df.write.mode("overwrite").parquet(path)
+        return kept(df, prefix)
     finally:
         conf.set(CLEANUP, before)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 HOT_GROUPS = 10_000

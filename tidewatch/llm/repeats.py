@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import kept, partitions_for, text_or_empty
+from tidewatch.llm.common import partitions_for, settled, text_or_empty
 from tidewatch.llm.runindex import RunIndex
 
 LENGTH = 100
@@ -232,9 +232,9 @@ def grouped(contexts: DataFrame) -> DataFrame:
         many = contexts.where(F.col("m") > MOST)
         if many.isEmpty():
             break
-        halves = kept(halved(many), "halves")
+        halves = settled(halved(many), "halves")
         sizes = halves.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-        contexts = kept(halves.join(sizes, "gram"), "groups")
+        contexts = settled(halves.join(sizes, "gram"), "groups")
     else:
         groups.append(contexts.select(whole))
     out = groups[0]
@@ -326,7 +326,7 @@ def marks(docs: DataFrame) -> DataFrame:
     """(doc, own, start, end): byte ranges to remove, possibly overlapping, of (doc, own, text)."""
     found = sampled(docs)
     over = W.partitionBy("gram")
-    decided = kept(
+    decided = settled(
         found.select(
             "*",
             F.min("doc").over(W.partitionBy("gram", "context")).alias("d0"),
@@ -344,8 +344,8 @@ def marks(docs: DataFrame) -> DataFrame:
     )
     open_ = decided.where("NOT later").select("gram", "doc", "own", "pos", "reach")
     many = open_.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    contexts = kept(fetched(open_.join(many, "gram"), docs), "contexts")
-    told = kept(indexed(grouped(contexts)), "indexed")
+    contexts = settled(fetched(open_.join(many, "gram"), docs), "contexts")
+    told = settled(indexed(grouped(contexts)), "indexed")
     within = told.where("h IS NULL").select("doc", "own", "start", "end")
     strings = told.where("h IS NOT NULL").select("gram", "h", "doc", "own", "start")
     return whole.unionByName(within).unionByName(across(strings))
@@ -375,7 +375,7 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame
         "doc_id",
         *[F.col(f"`{c}`").alias(f"c_{c}") for c in carry],
     )
-    spans = kept(marks(shaped.select("doc", "own", "text")), "marks").groupBy("doc", "own").agg(
+    spans = settled(marks(shaped.select("doc", "own", "text")), "marks").groupBy("doc", "own").agg(
         F.collect_list(F.struct("start", "end")).alias("spans")
     )
     joined = shaped.join(spans, ["doc", "own"], "left").select("doc_id", *[f"c_{c}" for c in carry], "text", "spans")
